@@ -274,13 +274,13 @@ def _(d):
 
 @query(
     "polygon_area_centroid_box_g3",
-    """select k as municipio_ibge, round(mx / area, 6) as lon, round(my / area, 6) as lat,
+    """select k as municipio_ibge, round(mx / area, 4) as lon, round(my / area, 4) as lat,
               round(area, 6) as area_graus, round(oeste, 6) as oeste, round(sul, 6) as sul,
               round(leste, 6) as leste, round(norte, 6) as norte from contorno""",
 )
 def _(d):
-    names = ["lon", "lat", "area_graus", "oeste", "sul", "leste", "norte"]
-    return rounded(geo.shapes(fx.meshes(d), "municipio_ibge"), *names)
+    out = rounded(geo.shapes(fx.meshes(d), "municipio_ibge"), "oeste", "sul", "leste", "norte")
+    return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
 
 
 @query(
@@ -336,7 +336,7 @@ def _(d):
 
 @query(
     "zone_geometry_a30_j3",
-    """select v.conjunto, round(sum(mx) / sum(area), 6) as lon, round(sum(my) / sum(area), 6) as lat,
+    """select v.conjunto, round(sum(mx) / sum(area), 4) as lon, round(sum(my) / sum(area), 4) as lat,
               round(sum(area), 6) as area_graus,
               cast(sum((select count(*) from aneis a where a.k = v.k and externo)) as bigint) as partes
        from vinculos v join contorno t on t.k = v.k group by v.conjunto""",
@@ -345,9 +345,8 @@ def _(d):
     zones = geo.zone_geometry(fx.shape_bridge(d), fx.meshes(d))
     # Every part opens with a double bracket; its holes do not.
     parts = F.regexp_count("wkt", F.lit(r"\(\(")).cast("long").alias("partes")
-    return rounded(
-        zones.select("conjunto", "lon", "lat", "area_graus", parts), "lon", "lat", "area_graus"
-    )
+    out = zones.select("conjunto", "lon", "lat", "area_graus", parts)
+    return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
 
 
 # --- grid --------------------------------------------------------------------------------------

@@ -297,10 +297,12 @@ def meshes(d: Data) -> DataFrame:
     Ring directions alternate, so the orientation step has work to do.
     """
     k = F.col("c_custkey")
-    x = (F.lit(-51.0) + (k * 37 % 1000) / F.lit(100.0)).alias("x")
-    y = (F.lit(-22.5) + (k * 61 % 800) / F.lit(100.0)).alias("y")
-    w = (F.lit(0.3) + (k % 7) * F.lit(0.05)).alias("w")
-    h = (F.lit(0.25) + (k % 5) * F.lit(0.07)).alias("h")
+    # Roots keep the corners off round numbers, where rounding could go either way.
+    root = lambda n: F.sqrt((k + n).cast("double")) / F.lit(9973.0)
+    x = (F.lit(-51.0) + (k * 37 % 1000) / F.lit(100.0) + root(1)).alias("x")
+    y = (F.lit(-22.5) + (k * 61 % 800) / F.lit(100.0) + root(2)).alias("y")
+    w = (F.lit(0.3) + (k % 7) * F.lit(0.05) + root(3)).alias("w")
+    h = (F.lit(0.25) + (k % 5) * F.lit(0.07) + root(5)).alias("h")
     base = d("customer").select(
         k.cast("int").alias("municipio_ibge"), F.col("c_nationkey").cast("string").alias("uf"), k.alias("k"), x, y, w, h
     )

@@ -27,12 +27,12 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
     out = {}
     for name, values in df.items():
         if pd.api.types.is_bool_dtype(values):
-            out[name] = values.map(str)
+            out[name] = values.astype(object).map(lambda v: "~" if pd.isna(v) else str(bool(v)))
         elif pd.api.types.is_numeric_dtype(values):
             # Nine digits hide the order of floating-point sums, nothing else.
             out[name] = values.map(lambda v: "~" if pd.isna(v) else f"{float(v) + 0.0:.9g}")
         else:
-            out[name] = values.map(lambda v: "~" if v is None or v is pd.NaT or v != v else str(v))
+            out[name] = values.map(lambda v: "~" if pd.isna(v) else str(v))
     out = pd.DataFrame(out, columns=sorted(df.columns)).astype(str)
     return out.sort_values(list(out.columns)).reset_index(drop=True)
 
