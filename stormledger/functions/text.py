@@ -29,19 +29,22 @@ def _accent_table() -> tuple[str, str]:
 
 
 _ACCENTED, _PLAIN = _accent_table()
+_SHARP_S, _CAPITAL_SHARP_S = "ß", "ẞ"
 
 
-def strip_accents(c: Column) -> Column:
-    return F.translate(c, _ACCENTED, _PLAIN)
+def _unless_ascii(c: Column, rewritten: Column) -> Column:
+    """Skip the rewrite where every character is one byte, which is cheap to know."""
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(rewritten)
 
 
-def upper(c: Column) -> Column:
-    """Upper case that never changes the length: sharp s has a capital form."""
-    return F.upper(F.translate(c, "ß", "ẞ"))
+def strip_accents(c: Column) -> Column:
+    return _unless_ascii(c, F.translate(c, _ACCENTED, _PLAIN))
 
 
 def plain_upper(c: Column) -> Column:
-    return upper(strip_accents(c))
+    """Upper case without accents; sharp s takes its capital form, not two letters."""
+    source, target = _SHARP_S + _ACCENTED, _CAPITAL_SHARP_S + _PLAIN
+    return F.upper(_unless_ascii(c, F.translate(c, source, target)))
 
 
 def blank_to_null(c: Column) -> Column:

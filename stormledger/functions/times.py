@@ -20,6 +20,9 @@ def _ntz(c: Column) -> Column:
 
 
 def trunc(unit: str, c: Column) -> Column:
+    """Start of the unit. From months on it goes through dates, which need no zone."""
+    if unit in ("month", "quarter", "year"):
+        return _ntz(F.trunc(c.cast("date"), unit))
     return _ntz(F.date_trunc(unit, _ts(c)))
 
 

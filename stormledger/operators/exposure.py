@@ -28,7 +28,7 @@ def hourly_counts(fact: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
     Rows are counted before the zone joins, so those see one row per zone-hour.
     """
     counts = (
-        f.rows(fact, F.col("ano"))
+        f.rows(fact)
         .groupBy(
             "conjunto",
             times.trunc("hour", times.local_to_utc(F.col("inicio"))).alias("instante_utc"),
@@ -162,32 +162,43 @@ def lag_profile(
 ) -> DataFrame:
     """Interruptions by hour around storm onsets against the usual rate.
 
-    Each onset becomes ``2 * window + 1`` target hours, found by an equi-join on
-    (zone, hour). Neighbour rows are summed by (offset, month, local hour)
-    before the usual rate is joined, so that join sees a bounded table:
-    offsets x 12 x 24. Both reads of the base have the same columns, so the
-    plan shuffles it once.
+    Each onset marks the ``2 * window + 1`` hours around it with their offset.
+    One pass over the base then sums every hour once for the usual rate (offset
+    null) and once per offset it carries. All joins share the key (zone, hour),
+    so the base moves once, and what is left are at most offsets x 12 x 24 sums.
     """
-    base = exposure_base(clima, counts)
     events = storm_onsets(clima, threshold) if onsets_only else heavy_hours(clima, threshold)
-    targets = events.select(
-        "conjunto",
-        F.explode(F.sequence(F.lit(-window), F.lit(window))).alias("hora_rel"),
-        "instante_utc",
-    ).select(
-        "conjunto",
-        times.add_hours(F.col("instante_utc"), F.col("hora_rel")).alias("instante_utc"),
-        "hora_rel",
+    offsets = (
+        events.select(
+            "conjunto",
+            F.explode(F.sequence(F.lit(-window), F.lit(window))).alias("hora_rel"),
+            "instante_utc",
+        )
+        .select(
+            "conjunto",
+            times.add_hours(F.col("instante_utc"), F.col("hora_rel")).alias("instante_utc"),
+            "hora_rel",
+        )
+        .groupBy(*_KEY)
+        .agg(F.collect_list("hora_rel").alias("horas_rel"))
     )
-    near = (
-        base.join(targets, _KEY)
+    itself = F.array(F.lit(None).cast("int"))
+    marks = F.concat(itself, F.coalesce("horas_rel", F.array().cast("array<int>")))
+    sums = (
+        exposure_base(clima, counts)
+        .join(offsets, _KEY, "left")
+        .select("mes", "hora_local", "interrupcoes", F.explode(marks).alias("hora_rel"))
         .groupBy("hora_rel", "mes", "hora_local")
         .agg(F.count(F.lit(1)).alias("horas"), F.sum("interrupcoes").alias("n"))
     )
+    whole = F.col("hora_rel").isNull()
+    same_hour = Window.partitionBy("mes", "hora_local")
+    usual_rate = F.max(F.when(whole, F.col("n") / F.col("horas"))).over(same_hour)
     usual = F.col("taxa_normal") * F.col("horas")
     hours, n = F.sum("horas"), F.sum("n")
     return (
-        near.join(expected_rate(base), ["mes", "hora_local"])
+        sums.withColumn("taxa_normal", usual_rate)
+        .filter(~whole)
         .groupBy("hora_rel")
         .agg(
             hours.alias("conjunto_horas"),

@@ -34,10 +34,6 @@ def _weather_share() -> Column:
     )
 
 
-def _monthly(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
-    return f.apply(rows, _month_year(), lookups)
-
-
 def _top(totals: DataFrame, by: str, limit: int, key: str) -> DataFrame:
     """Top rows by a known measure, ties by key, so equal runs give equal rows."""
     return totals.orderBy(F.desc_nulls_last(measure(by)), F.asc(key)).limit(limit)
@@ -48,7 +44,7 @@ def _top(totals: DataFrame, by: str, limit: int, key: str) -> DataFrame:
 
 def summary(rows: DataFrame, durations: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
     """Headline numbers, with the median duration from the band counts."""
-    totals = _monthly(rows, f, lookups).agg(
+    totals = f.apply(rows, lookups).agg(
         _total("interrupcoes"),
         _total("consumidores"),
         (F.sum("consumidor_minuto") / 60.0).alias("consumidor_hora"),
@@ -81,7 +77,7 @@ def median_duration(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
 
 def series(rows: DataFrame, f: Filtro, lookups: Lookups, grain: str = "month") -> DataFrame:
     return (
-        _monthly(rows, f, lookups)
+        f.apply(rows, lookups)
         .groupBy(times.trunc(grain, F.col("mes")).alias("periodo"))
         .agg(_total("interrupcoes"), _total("consumidores"))
         .orderBy("periodo")
@@ -90,7 +86,7 @@ def series(rows: DataFrame, f: Filtro, lookups: Lookups, grain: str = "month") -
 
 def by_cause(rows: DataFrame, f: Filtro, lookups: Lookups, grain: str = "year") -> DataFrame:
     return (
-        _monthly(rows, f, lookups)
+        f.apply(rows, lookups)
         .groupBy(
             times.trunc(grain, F.col("mes")).alias("periodo"),
             F.coalesce("causa", F.lit(UNKNOWN_CAUSE)).alias("causa"),
@@ -144,7 +140,7 @@ def zone_label() -> Column:
 def _zone_totals(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
     """One row per zone before any join, so a busy zone never meets one."""
     totals = (
-        f.rows(rows, _month_year())
+        f.rows(rows)
         .groupBy("conjunto")
         .agg(_total("interrupcoes"), _total("consumidores"))
     )
@@ -170,7 +166,7 @@ def distributor_ranking(
     rows: DataFrame, f: Filtro, lookups: Lookups, by: str = "consumidores", limit: int = 15
 ) -> DataFrame:
     totals = (
-        _monthly(rows, f, lookups)
+        f.apply(rows, lookups)
         .groupBy("distribuidora")
         .agg(_total("interrupcoes"), _total("consumidores"), _weather_share())
     )
@@ -200,7 +196,7 @@ def zone_map(
 
 def hour_by_weekday(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
     return (
-        f.apply(rows, F.col("ano"), lookups)
+        f.apply(rows, lookups)
         .groupBy("dia_semana", "hora")
         .agg(_total("interrupcoes"))
     )
@@ -217,7 +213,7 @@ def weekday_matrix(cells: DataFrame) -> DataFrame:
 
 def duration_distribution(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
     return (
-        f.apply(rows, F.col("ano"), lookups)
+        f.apply(rows, lookups)
         .groupBy("faixa_min")
         .agg(_total("interrupcoes"))
         .orderBy("faixa_min")

@@ -186,12 +186,12 @@ def _(d):
 
 @query("storm_onsets_j13", "select * from eventos")
 def _(d):
-    return exposure.storm_onsets(fx.climate_hours(d))
+    return exposure.storm_onsets(fx.stored_climate(d))
 
 
 @query("storm_onsets_window_w4", "select * from eventos")
 def _(d):
-    return exposure.storm_onsets_windowed(fx.climate_hours(d))
+    return exposure.storm_onsets_windowed(fx.stored_climate(d))
 
 
 @query(
@@ -208,7 +208,7 @@ def _(d):
               round(taxa_esperada, 6) as taxa_esperada, round(lift, 6) as lift from perfil""",
 )
 def _(d):
-    out = exposure.lag_profile(fx.climate_hours(d), counts(d))
+    out = exposure.lag_profile(fx.stored_climate(d), counts(d))
     return rounded(out, "taxa", "taxa_esperada", "lift")
 
 
@@ -222,7 +222,7 @@ def _(d):
 )
 def _(d):
     out = exposure.lag_profile(
-        fx.climate_hours(d), counts(d), threshold=2, window=12, onsets_only=False
+        fx.stored_climate(d), counts(d), threshold=2, window=12, onsets_only=False
     )
     return out.select("hora_rel", "conjunto_horas", "interrupcoes")
 
@@ -234,7 +234,7 @@ def _(d):
               round((select avg(lift) from perfil where hora_rel >= -6 and hora_rel < 0), 6) as lift_antes""",
 )
 def _(d):
-    out = exposure.lag_peak(exposure.lag_profile(fx.climate_hours(d), counts(d)))
+    out = exposure.lag_peak(exposure.lag_profile(fx.stored_climate(d), counts(d)))
     return rounded(out, "lift_pico", "lift_antes")
 
 

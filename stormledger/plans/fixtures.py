@@ -8,12 +8,15 @@ a join over whole tables.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from stormledger.config import EPOCH
 from stormledger.functions import times
 from stormledger.operators import fact
 from stormledger.operators.filters import Lookups
+from stormledger.sources import files
 
 # --- fixed values -----------------------------------------------------------
 
@@ -32,7 +35,13 @@ class Data:
     path: str
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return _table(self.spark, f"{self.path}/{name}.parquet")
+
+
+@lru_cache(maxsize=256)
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """One reader per session and table: each new one would read footers again."""
+    return spark.read.parquet(path)
 
 
 # --- fact -------------------------------------------------------------------------
@@ -65,7 +74,7 @@ def stored_fact(d: Data, cause: bool = True) -> DataFrame:
         text.alias("alimentador"),
         text.alias("subestacao"),
         (
-            times.seconds_from_epoch(F.col("o_orderdate"))
+            F.date_diff("o_orderdate", F.lit(EPOCH).cast("date")) * F.lit(86_400)
             + (F.col("l_partkey") % 24).cast("int") * F.lit(3600)
         ).alias("inicio_s"),
         (days * F.lit(SECONDS_PER_DAY_APART)).alias("duracao_s"),
@@ -280,7 +289,9 @@ def climate_hours(d: Data) -> DataFrame:
         F.sum("chuva").alias("chuva"), F.sum("tudo").alias("tudo")
     )
     cents = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)) * 100.0)
-    return dense.join(seen, ["conjunto", "instante_utc"], "left").select(
+    # Size estimates do not see the explode. Building on the seen hours keeps the
+    # dense side from ever being broadcast; the key is fine, so no hash table is large.
+    return dense.join(seen.hint("shuffle_hash"), ["conjunto", "instante_utc"], "left").select(
         "conjunto",
         "instante_utc",
         F.least(F.round(cents("chuva") / 20.0), F.lit(32000.0)).cast("short").alias("chuva_c"),
@@ -288,6 +299,13 @@ def climate_hours(d: Data) -> DataFrame:
     )
 
 
+def stored_climate(d: Data) -> DataFrame:
+    """The same as a written table, for queries that read it more than once."""
+    path = files.scratch(d.spark, "clima_conjunto_hora")
+    files.write_sorted(climate_hours(d), path, ["conjunto", "instante_utc"])
+    return d.spark.read.parquet(path)
+
+
 # --- geometry and grid -----------------------------------------------------------------------
 
 
