@@ -125,7 +125,7 @@ def storm_onsets_windowed(
 ) -> DataFrame:
     """The same by a range window over heavy hours in blocks of time.
 
-    Rows near the end of a block are repeated in the next one, so a window
+    A row is repeated in every block it can still block an onset of, so a window
     never needs a whole zone: its partition is one zone and one block.
     """
     hour = times.hour_number(F.col("instante_utc"))
@@ -134,8 +134,7 @@ def storm_onsets_windowed(
         heavy_hours(clima, threshold)
         .withColumn("h", hour)
         .withColumn(
-            "bloco",
-            F.explode(F.array_distinct(F.array(block(F.col("h")), block(F.col("h") + quiet_hours)))),
+            "bloco", F.explode(F.sequence(block(F.col("h")), block(F.col("h") + quiet_hours)))
         )
     )
     before = Window.partitionBy("conjunto", "bloco").orderBy("h").rangeBetween(-quiet_hours, -1)

@@ -11,7 +11,7 @@ from stormledger.plans import fixtures as fx
 from stormledger.plans.fixtures import Data
 from stormledger.plans.oracle import BLOCKS
 from stormledger.plans.registry import query
-from stormledger.sources import catalog, files, layers
+from stormledger.sources import catalog, files, layers, versions
 
 # --- scalar functions over whole texts -------------------------------------------------
 
@@ -360,7 +360,7 @@ def _written_fact(d: Data) -> str:
        from fato group by 1, 2""",
 )
 def _(d):
-    stored = files.parquet(d.spark, _written_fact(d))
+    stored = files.stored_fact(d.spark, _written_fact(d))
     return stored.groupBy("ano_arquivo", "ano").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.col("duracao_s").cast("long")).alias("segundos"),
@@ -494,7 +494,9 @@ def _(d):
     files.write_fact(
         fx.stored_fact(d, cause=False).withColumn("ano_arquivo", F.col("ano")), paths.silver("interrupcoes")
     )
-    files.write_table(fx.dim_conjunto(d), paths.gold("dim_conjunto"))
+    versions.save(
+        d.spark, paths.ouro, "dim_conjunto", lambda path: files.write_table(fx.dim_conjunto(d), path)
+    )
     layers.register(d.spark, paths)
     return d.spark.sql(
         """select uf, sum(interrupcoes) as interrupcoes, count(distinct i.conjunto) as conjuntos

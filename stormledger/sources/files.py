@@ -41,6 +41,15 @@ def parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*paths)
 
 
+def stored_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The curated fact by its contract: no footers are read or merged.
+
+    Columns are found by name, and one that an older file lacks is null there.
+    The folder year is added by partition discovery.
+    """
+    return spark.read.schema(contract.FACT_SCHEMA).parquet(path)
+
+
 def columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.parquet(path).columns
 
