@@ -14,6 +14,7 @@ from stormledger.config import (
 )
 from stormledger.functions import numbers, text, times
 from stormledger.operators.filters import Filtro, Lookups, measure
+from stormledger.operators.joins import SMALL_ROWS, at_most_rows
 
 
 def _n() -> Column:
@@ -28,10 +29,38 @@ def _total(name: str) -> Column:
     return F.sum(name).alias(name)
 
 
+def _weather_events() -> Column:
+    """Events of weather-related rows, zero elsewhere; their sum over all gives the share."""
+    return F.when(F.col("causa_climatica"), _n()).otherwise(F.lit(0))
+
+
 def _weather_share() -> Column:
-    return numbers.ratio(numbers.sum_when(F.col("causa_climatica"), _n()), F.sum(_n())).alias(
-        "fracao_climatica"
-    )
+    return numbers.ratio(F.col("climaticas"), _n()).alias("fracao_climatica")
+
+
+def _grouped(
+    rows: DataFrame, f: Filtro, lookups: Lookups, keys: dict[str, Column], sums: dict[str, Column]
+) -> DataFrame:
+    """Sums per key under the whole filter.
+
+    A set of zones that is counted to be small is broadcast against the rows.
+    Beyond that, rows are first summed per zone and key, so the join sees only
+    those sums and a zone with a third of the rows is a few of them.
+    """
+    kept, zones = f.rows(rows), f.zones(lookups)
+    by = [c.alias(name) for name, c in keys.items()]
+    first = [F.sum(c).alias(name) for name, c in sums.items()]
+    if zones is None:
+        return kept.groupBy(*by).agg(*first)
+    if at_most_rows(zones, SMALL_ROWS):
+        return kept.join(F.broadcast(zones), "conjunto", "left_semi").groupBy(*by).agg(*first)
+    per_zone = kept.groupBy("conjunto", *by).agg(*first)
+    inside = per_zone.join(zones, "conjunto", "left_semi")
+    return inside.groupBy(*keys).agg(*[_total(name) for name in sums])
+
+
+def _both() -> dict[str, Column]:
+    return {"interrupcoes": _n(), "consumidores": F.col("consumidores")}
 
 
 def _top(totals: DataFrame, by: str, limit: int, key: str) -> DataFrame:
@@ -43,15 +72,35 @@ def _top(totals: DataFrame, by: str, limit: int, key: str) -> DataFrame:
 
 
 def summary(rows: DataFrame, durations: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
-    """Headline numbers, with the median duration from the band counts."""
-    totals = f.apply(rows, lookups).agg(
+    """Headline numbers, with the median duration from the band counts.
+
+    Counting zones groups by zone anyway, so the sums ride along.
+    """
+    per_zone = (
+        f.rows(rows)
+        .groupBy("conjunto")
+        .agg(
+            _total("interrupcoes"),
+            _total("consumidores"),
+            _total("consumidor_minuto"),
+            F.sum(_weather_events()).alias("climaticas"),
+        )
+    )
+    totals = f.places(per_zone, lookups).agg(
         _total("interrupcoes"),
         _total("consumidores"),
         (F.sum("consumidor_minuto") / 60.0).alias("consumidor_hora"),
-        F.countDistinct("conjunto").alias("conjuntos"),
+        F.count("conjunto").alias("conjuntos"),
+        _total("climaticas"),
+    )
+    return totals.select(
+        "interrupcoes",
+        "consumidores",
+        "consumidor_hora",
+        "conjuntos",
         _weather_share(),
+        median_duration(durations, f, lookups).scalar().alias("duracao_mediana"),
     )
-    return totals.withColumn("duracao_mediana", median_duration(durations, f, lookups).scalar())
 
 
 def median_duration(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
@@ -76,24 +125,16 @@ def median_duration(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
 
 
 def series(rows: DataFrame, f: Filtro, lookups: Lookups, grain: str = "month") -> DataFrame:
-    return (
-        f.apply(rows, lookups)
-        .groupBy(times.trunc(grain, F.col("mes")).alias("periodo"))
-        .agg(_total("interrupcoes"), _total("consumidores"))
-        .orderBy("periodo")
-    )
+    period = {"periodo": times.trunc(grain, F.col("mes"))}
+    return _grouped(rows, f, lookups, period, _both()).orderBy("periodo")
 
 
 def by_cause(rows: DataFrame, f: Filtro, lookups: Lookups, grain: str = "year") -> DataFrame:
-    return (
-        f.apply(rows, lookups)
-        .groupBy(
-            times.trunc(grain, F.col("mes")).alias("periodo"),
-            F.coalesce("causa", F.lit(UNKNOWN_CAUSE)).alias("causa"),
-        )
-        .agg(_total("interrupcoes"))
-        .orderBy("periodo")
-    )
+    keys = {
+        "periodo": times.trunc(grain, F.col("mes")),
+        "causa": F.coalesce("causa", F.lit(UNKNOWN_CAUSE)),
+    }
+    return _grouped(rows, f, lookups, keys, {"interrupcoes": _n()}).orderBy("periodo")
 
 
 def full_window(rows: DataFrame, grain: str = "month") -> DataFrame:
@@ -165,12 +206,10 @@ def zone_ranking(
 def distributor_ranking(
     rows: DataFrame, f: Filtro, lookups: Lookups, by: str = "consumidores", limit: int = 15
 ) -> DataFrame:
-    totals = (
-        f.apply(rows, lookups)
-        .groupBy("distribuidora")
-        .agg(_total("interrupcoes"), _total("consumidores"), _weather_share())
-    )
-    return _top(totals, by, limit, "distribuidora")
+    sums = _both() | {"climaticas": _weather_events()}
+    totals = _grouped(rows, f, lookups, {"distribuidora": F.col("distribuidora")}, sums)
+    columns = ["distribuidora", "interrupcoes", "consumidores", _weather_share()]
+    return _top(totals.select(*columns), by, limit, "distribuidora")
 
 
 def zone_map(
@@ -195,11 +234,8 @@ def zone_map(
 
 
 def hour_by_weekday(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
-    return (
-        f.apply(rows, lookups)
-        .groupBy("dia_semana", "hora")
-        .agg(_total("interrupcoes"))
-    )
+    keys = {"dia_semana": F.col("dia_semana"), "hora": F.col("hora")}
+    return _grouped(rows, f, lookups, keys, {"interrupcoes": _n()})
 
 
 def weekday_matrix(cells: DataFrame) -> DataFrame:
@@ -212,12 +248,8 @@ def weekday_matrix(cells: DataFrame) -> DataFrame:
 
 
 def duration_distribution(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
-    return (
-        f.apply(rows, lookups)
-        .groupBy("faixa_min")
-        .agg(_total("interrupcoes"))
-        .orderBy("faixa_min")
-    )
+    band = {"faixa_min": F.col("faixa_min")}
+    return _grouped(rows, f, lookups, band, {"interrupcoes": _n()}).orderBy("faixa_min")
 
 
 def duration_tail(bands: DataFrame) -> DataFrame:

@@ -207,3 +207,27 @@ def test_bridge_keeps_the_majority_state(spark):
     assert dim[1].municipio_unico is True and dim[3].municipio_unico is False
     assert dim[3].nome == "b" and dim[1].nome == "y" and dim[9].nome is None
     assert dim[15457].municipios == "Outra, Sarandi, Soledade" and dim[15457].municipio_ibge_unico == 4300001
+
+
+def test_many_zones_answer_like_few(rows, lookups, monkeypatch):
+    """Above the broadcast bound rows are summed per zone first; nothing else changes."""
+    f = Filtro(ufs=("MG",), regioes=("SUDESTE", "SUL"), so_climaticas=True)
+    live, hours, bands = cubes.monthly_rows(rows), cubes.weekly_rows(rows), cubes.duration_rows(rows)
+
+    def answers():
+        return [
+            sorted(map(tuple, df.collect()), key=str)
+            for df in (
+                panel.series(live, f, lookups),
+                panel.by_cause(live, f, lookups),
+                panel.distributor_ranking(live, f, lookups),
+                panel.hour_by_weekday(hours, f, lookups),
+                panel.duration_distribution(bands, f, lookups),
+            )
+        ]
+
+    few = answers()
+    monkeypatch.setattr(panel, "SMALL_ROWS", 0)
+    assert answers() == few and all(few)
+    plan = panel.series(live, f, lookups)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") >= 2
