@@ -5,10 +5,10 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from stormledger.plans.catalogue import CHECKS, QUERIES
 from tests.compare import connect, differences
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are not here")
 
