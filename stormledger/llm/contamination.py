@@ -70,7 +70,11 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
 
     An item shorter than a window is one window of its own length.
     """
-    t = benchmark.select("item_id", tokens(text_of()).alias("words")).distinct()
+    # A first word counts as a name or not by what stands before it in a document: both forms are known.
+    inside = tokens(F.concat(F.lit("x "), text_of()))
+    t = benchmark.select("item_id", tokens(text_of()).alias("words")).union(
+        benchmark.select("item_id", F.slice(inside, 2, F.greatest(F.size(inside) - 1, F.lit(0))))
+    )
     t = t.withColumn("codes", canonical(F.col("words"))).filter(F.size("words") > 0)
     t = t.withColumn("size", F.least(F.size("words"), F.lit(window)))
     starts = F.sequence(F.lit(0), F.size("words") - F.col("size"))
@@ -83,7 +87,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     of_size = [
         F.when(F.col("size") == k, F.xxhash64(*[F.get("item_codes", F.lit(i)) for i in range(k)])) for k in range(1, window + 1)
     ]
-    t = t.select("item_id", "size", "item_at", "item_words", slots.alias("slots"), F.coalesce(*of_size).alias("hash"))
+    t = t.select("item_id", "size", "item_at", "item_words", slots.alias("slots"), F.coalesce(*of_size).alias("hash")).distinct()
     totals = t.groupBy("item_id").agg(F.countDistinct("item_at").alias("item_windows"))
     return t.join(totals, "item_id")
 
