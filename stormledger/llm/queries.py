@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from stormledger.llm import contamination_queries, dedup_queries, license_queries, packing_queries, secret_queries, simhash_queries
+from stormledger.llm import contamination_queries, dedup_queries, license_queries, packing_queries, secret_queries, simhash_queries, token_queries
 
 QUERIES = {
+    "op5_token_files": token_queries.op5_token_files,
     "op1_best_fit_packing": packing_queries.op1_best_fit_packing,
     "op8_secret_scan": secret_queries.op8_secret_scan,
     "op3_license_scan": license_queries.op3_license_scan,
