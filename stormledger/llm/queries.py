@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from stormledger.llm import contamination_queries, dedup_queries, language_queries, license_queries, packing_queries, secret_queries, simhash_queries, token_queries
+from stormledger.llm import contamination_queries, dedup_queries, language_queries, license_queries, packing_queries, secret_queries, simhash_queries, token_queries, toxicity_queries
 
 QUERIES = {
+    "op7_toxicity": toxicity_queries.op7_toxicity,
     "op4_language_id": language_queries.op4_language_id,
     "op5_token_files": token_queries.op5_token_files,
     "op1_best_fit_packing": packing_queries.op1_best_fit_packing,
