@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from stormledger.llm import contamination_queries, dedup_queries, language_queries, license_queries, packing_queries, secret_queries, simhash_queries, token_queries, toxicity_queries
+from stormledger.llm import contamination_queries, dedup_queries, language_queries, license_queries, packing_queries, secret_queries, simhash_queries, token_queries, toxicity_queries, warc_queries
 
 QUERIES = {
+    "op6_warc_revisits": warc_queries.op6_warc_revisits,
     "op7_toxicity": toxicity_queries.op7_toxicity,
     "op4_language_id": language_queries.op4_language_id,
     "op5_token_files": token_queries.op5_token_files,
@@ -16,5 +17,6 @@ QUERIES = {
     "op10_exact_dedup": dedup_queries.op10_exact_dedup,
 }
 CHECKS = {
+    "op6_warc_revisits": warc_queries.OP6_SQL,
     "op10_exact_dedup": dedup_queries.OP10_SQL,
 }
