@@ -179,13 +179,16 @@ def mark_kept(rows: DataFrame) -> DataFrame:
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents less their exact copies, all columns as they were."""
     fate = kept(exact_dedup(docs, id_col=id_col, text_col=text_col), "dedup-fate")
-    key = sha256(normalised(text_of(text_col)))
-    dropped = fate.filter(~F.col("kept")).select(F.col("id").alias("gone"), F.col("digest").alias("gone_digest"), "keep_id")
-    copies = dropped.filter(~F.col("gone").eqNullSafe(F.col("keep_id"))).select("gone", "gone_digest").distinct()
-    repeated = dropped.filter(F.col("gone").eqNullSafe(F.col("keep_id"))).select("gone", "gone_digest").distinct()
-    on = F.col(id_col).eqNullSafe(F.col("gone")) & (key == F.col("gone_digest"))
-    plain = docs.join(copies.unionByName(repeated), on, "left_anti")
+    dropped = fate.filter(~F.col("kept")).select("id", "digest", F.col("id").eqNullSafe(F.col("keep_id")).alias("repeats")).distinct()
+    digest = sha256(normalised(text_of(text_col)))
+
+    def those(rows: DataFrame, how: str) -> DataFrame:
+        return docs.join(rows, docs[id_col].eqNullSafe(rows["id"]) & (digest == rows["digest"]), how)
+
+    plain = those(dropped, "left_anti")
+    repeated = dropped.filter("repeats")
     if repeated.isEmpty():
         return plain
-    again = docs.join(repeated, on, "left_semi").withColumn("_digest", key)
-    return plain.unionByName(again.dropDuplicates([id_col, "_digest"]).drop("_digest"))
+    # Rows that repeat id and text: one of them comes back.
+    again = those(repeated, "left_semi").withColumn(f"{text_col}_sha256", digest)
+    return plain.unionByName(again.dropDuplicates([id_col, f"{text_col}_sha256"]).select(*docs.columns))

@@ -159,14 +159,14 @@ def fit(docs: DataFrame, training: Column, per_language: int = SAMPLE_PER_LANGUA
 
 
 def identify(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") -> DataFrame:
-    """All columns of ``docs`` but the text, then lang_pred and score.
+    """All columns of ``docs`` but the text, then lang_pred and score, which replace columns of that name.
 
     ``und`` with score 0 for a null text, one without letters, or a model without languages.
     """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
-    others = [c for c in docs.columns if c != text_col]
+    others = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)

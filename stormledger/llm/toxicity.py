@@ -291,7 +291,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text") ->
 
 
 def toxicity(docs: DataFrame, model: Model, text_col="text") -> DataFrame:
-    """All columns of ``docs`` but the text, then score (0 to 1); null counts as empty, which has no evidence."""
+    """All columns of ``docs`` but the text, then score (0 to 1), which replaces a column of that name.
+
+    Null counts as empty, which has no evidence.
+    """
     ship(docs.sparkSession)
-    rows = docs.select(*[c for c in docs.columns if c != text_col], text_col)
+    rows = docs.select(*[c for c in docs.columns if c not in (text_col, "score")], text_col)
     return _evidence(rows, model, "score double", lambda model, evidence: {"score": model.probability(evidence)})
