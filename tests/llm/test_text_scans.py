@@ -1,0 +1,169 @@
+import hashlib
+import re
+import zlib
+
+import pytest
+
+from stormledger.llm import contamination, licenses, secrets
+from stormledger.llm.secret_queries import op8_secret_scan
+from tests.llm import cases
+
+
+def words(text):
+    folded = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded)
+
+
+def base_places(text):
+    w = words(text)
+    return sorted((i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split())
+
+
+def window_labels(text, threshold=0.8):
+    w, stride = words(text), max(len(t.split()) for t in [*licenses.PHRASES, *licenses.TEMPLATES.values()])
+    held = set()
+    for start in range(0, max(len(w), 1), stride):
+        block = set(w[start : start + 2 * stride])
+        for label, template in licenses.TEMPLATES.items():
+            t = set(template.split())
+            if len(block & t) >= threshold * len(t) - 1e-9:
+                held.add(label)
+    return held
+
+
+EXTRA = [
+    "GNU General\nPublic  License; gnu general public license",
+    "mit" + " x" * 40 + " MIT\tLicense",
+    "permission is hereby granted, free of charge, to any person obtaining copies of this software and its associated documentation",
+    "cc-by cc by CC--BY ccby cc_by",
+    ("filler " * 300) + "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions hold.",
+]
+
+
+def scanned(spark, tmp_path):
+    rows = cases.rows() + [(100 + i, t, *[None] * 9) for i, t in enumerate(EXTRA)]
+    path = str(tmp_path / "scan")
+    spark.createDataFrame(rows, cases.SCHEMA).write.parquet(path)
+    return rows, spark.read.parquet(path)
+
+
+def test_license_scan_equals_brute_force(spark, tmp_path):
+    rows, docs = scanned(spark, tmp_path)
+    want = []
+    for r in rows:
+        places = base_places(r[1])
+        labels = window_labels(r[1]) | {label for _, label in places}
+        first, last = (places[0][0], places[-1][0]) if places else (None, None)
+        base = ",".join(sorted({label for _, label in places}))
+        want.append((r[0], len(words(r[1])), len(places), first, last, base, ",".join(sorted(labels))))
+    got = [tuple(r) for r in licenses.scan(docs).drop("score").collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    scores = licenses.scan(docs).select("labels", "score").collect()
+    assert all((r.score > 0) == (r.labels != "") and r.score <= 1 for r in scores)
+
+
+def test_license_scan_is_native_and_takes_empty_tables(spark, tmp_path):
+    assert licenses.scan(cases.empty(spark, tmp_path)).count() == 0
+    plan = licenses.scan(cases.docs(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def slow_spans(text):
+    found = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text or "", re.I | re.A):
+        if len(m[2]) >= 6:
+            found.append((m.start(), 0, "assign", m.end()))
+    found += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 20]
+    found += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 24]
+    return sorted(found)
+
+
+SECRETS = [
+    "😀 token = 'abc-def+123' AKIA" + "A1" * 9 + " secret:short passwd=\"x_y.z/9=\"",
+    "client_id: robot7 then Zx9Qw8Er7Ty6Ui5Op4As3Df2 at https://host/x",
+    "client_id: robot7 alone",
+    "Zx9Qw8Er7Ty6Ui5Op4As3Df2 alone",
+    "client_id: robot7\n\nZx9Qw8Er7Ty6Ui5Op4As3Df2 in another scope",
+    "client_id: robot7" + " far" * 80 + " Zx9Qw8Er7Ty6Ui5Op4As3Df2",
+    "deadbeefdeadbeefdeadbeefdeadbeef https://api.host",
+]
+
+
+def test_secret_spans(spark, tmp_path):
+    rows = cases.rows() + [(200 + i, t, *[None] * 9) for i, t in enumerate(SECRETS)]
+    folder = str(tmp_path / "sf")
+    spark.createDataFrame(rows, cases.SCHEMA).repartition(2).write.parquet(f"{folder}/documents.parquet")
+    got = op8_secret_scan(spark, folder).collect()
+    want = []
+    for r in rows:
+        spans = slow_spans(r[1])
+        text = ",".join(f"{k}:{s}:{e}" for s, _, k, e in spans)
+        counts = [sum(k == kind for _, _, k, _ in spans) for kind in ("assign", "access", "hex")]
+        want.append((r[0], *counts, hashlib.sha256(text.encode()).hexdigest()))
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256)) for r in got)
+    kinds = {r.doc_id: sorted({p.split(":")[0] for p in r.spans.split(",") if p}) for r in got if r.doc_id and r.doc_id >= 200}
+    assert kinds[201] == ["endpoint", "identifier", "opaque"]
+    assert kinds[202] == kinds[203] == kinds[204] == kinds[205] == []
+    assert kinds[206] == ["endpoint", "hex"]
+
+
+def test_secrets_of_an_empty_table(spark, tmp_path):
+    assert secrets.secrets(cases.empty(spark, tmp_path)).count() == 0
+
+
+ITEMS = [
+    (0, "A train leaves Madrid at 9 hours and rides 240 km to the coast before it turns back, how fast was it?"),
+    (1, "In spring Anna picks 3 red apples and then Anna gives 3 apples away to her neighbour Carl who likes fruit"),
+    (2, "tiny item of five words"),
+    (3, None),
+    (4, ""),
+    (5, "1 2 3 4 5 6 7 8 9 10 11 12"),
+]
+CASES = [
+    (0, "x " + ITEMS[0][1] + " y", {0: (0, None)}),
+    (1, "Someone asked: A train leaves Lisbon at 7 hours and rides 515 km to the coast before it turns back, how fast was it? Done.", {0: (3, None)}),
+    (2, "so In spring Berta picks 8 red apples and then Berta gives 8 apples away to her neighbour Dan who likes fruit", {1: (3, None)}),
+    (3, "so In spring Berta picks 8 red apples and then Emma gives 5 apples away to her neighbour Dan who likes fruit", {}),
+    (4, "here: tiny item, of FIVE words!", {2: (0, None)}),
+    (5, "the 7 8 9 10 11 12 13 14 15 16 numbers", {}),
+    (6, None, {}),
+    (7, "", {}),
+    (8, "A train leaves the coast", {}),
+]
+
+
+def test_templates_are_caught_when_slots_are_consistent(spark):
+    docs = spark.createDataFrame([(i, t, "b", "h") for i, t, _ in CASES] + [(0, CASES[0][1], "b", "h")], "doc_id long, text string, body string, hash string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = {}
+    for r in contamination.contaminated(docs, items).collect():
+        got.setdefault(r.id, {})[r.item_id] = (r.changed_slots, None)
+    assert got == {i: want for i, _, want in CASES if want}
+    kept = contamination.without_benchmark(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, _, want in CASES if not want]
+
+
+def test_given_documents_equal_a_search_for_whole_passages(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    texts, passages = docs.select("doc_id", "text").collect(), items.collect()
+    want = {(d.doc_id, b.item_id) for d in texts for b in passages if b.text in d.text}
+    got = {(r.id, r.item_id) for r in contamination.contaminated(docs, items).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("which", ["docs", "items", "both"])
+def test_contamination_of_empty_tables_is_native(spark, tmp_path, which):
+    docs = cases.docs(spark, tmp_path) if which == "items" else cases.empty(spark, tmp_path)
+    items = spark.createDataFrame(ITEMS if which == "docs" else [], "item_id long, text string")
+    found = contamination.contaminated(docs, items)
+    assert found.count() == 0
+    assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", found._jdf.queryExecution().executedPlan().toString())
+
+
+def test_held_out_rows_follow_the_checksum(spark):
+    from stormledger.llm.common import crc32_mod
+
+    df = spark.createDataFrame([(7,), (123456,), (None,)], "doc_id long").select("doc_id", crc32_mod("doc_id", 5).alias("m"))
+    assert {r.doc_id: r.m for r in df.collect()} == {i: zlib.crc32((str(i) if i is not None else "").encode()) % 5 for i in (7, 123456, None)}
