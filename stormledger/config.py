@@ -67,6 +67,35 @@ STORM_QUIET_H = 6  # hours without heavy rain that make it an onset
 DURATION_STEP = 15
 DURATION_TAIL = (720, 1440, 4320)
 
+# Rules of the audit: (name here, label, tolerated rows); None only warns.
+FACT_RULES = (
+    ("no_zone", "conjunto nulo", 0),
+    ("no_start", "início nulo", 0),
+    ("start_outside", "início fora de {}–{}", 0),
+    ("negative_customers", "consumidores afetados negativo", 0),
+    ("negative_duration", "duração negativa (fim antes do início)", 1),
+    ("more_than_all", "afetados maior que o conjunto inteiro", 5_055),
+    ("other_year", "ano de competência diferente do ano de início", None),
+    ("no_duration", "duração zero", None),
+    ("no_customers", "nenhum consumidor afetado", None),
+    ("no_detail", "sem detalhe de causa", None),
+    ("no_cause", "sem causa", None),
+    ("unknown_voltage", "nível de tensão 9999 (sentinela de desconhecido)", None),
+    ("over_three_days", "duração acima de três dias", None),
+)
+CLIMATE_RULES = (
+    ("missing", "chuva ou rajada nula", 0),
+    ("negative_rain", "chuva negativa", 0),
+    ("no_gust", "rajada não positiva", 0),
+    ("rain_over", "chuva acima de 100 mm/h", 0),
+    ("gust_over", "rajada acima de 150 km/h", 0),
+)
+REFERENCE_RULES = (
+    ("fact_zone", "conjunto do fato fora da ponte", None),
+    ("bridge_city", "município da ponte fora da dimensão", 0),
+    ("bridge_shape", "conjunto da ponte sem geometria", 0),
+)
+
 MEASURES = ("interrupcoes", "consumidores")
 TOP_CATEGORIES = 7
 OTHER_CATEGORY = "Outras"

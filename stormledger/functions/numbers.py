@@ -13,7 +13,12 @@ def to_int(df: DataFrame, name: str) -> Column:
     """
     kind, c = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.StringType):
-        return F.round(c.try_cast("double")).try_cast("int")
+        # Decimal and exponent forms, single underscores between digits, and 0x with digits;
+        # a type suffix as in 12d makes it no number.
+        shown = F.regexp_replace(F.trim(c), r"(?<=[0-9A-Fa-f])_(?=[0-9A-Fa-f])", "")
+        plain = F.when(shown.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), shown)
+        coded = F.when(shown.rlike("^0[xX][0-9A-Fa-f]+$"), F.conv(F.substring(shown, 3, 64), 16, 10))
+        return F.coalesce(coded.try_cast("int"), F.round(plain.try_cast("double")).try_cast("int"))
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.rint(c).try_cast("int")
     if isinstance(kind, T.DecimalType):

@@ -8,28 +8,39 @@ from pyspark.sql import Column, functions as F
 
 from stormledger.config import CAUSE_SEPARATORS, SYNONYMS
 
-# Code point ranges whose letters can carry accents: Latin-1 to Latin Extended-B
-# and Latin Extended Additional; then the free-standing combining marks.
-_LETTERS = (range(0x00C0, 0x0250), range(0x1E00, 0x1F00))
-_MARKS = range(0x0300, 0x0370)
+# Every letter of the basic plane but Hangul, whose syllables decompose into letters, not marks.
+_BASIC_PLANE = [*range(0x80, 0xAC00), *range(0xD7B0, 0xD800), *range(0xE000, 0x10000)]
+# Code points that no text may hold; they stand in for letters while the case changes.
+_STAND_INS = "".join(map(chr, range(0xFDD0, 0xFDF0)))
+
+
+def _is_mark(letter: str) -> bool:
+    return unicodedata.category(letter).startswith("M")
 
 
 def _accent_table() -> tuple[str, str]:
-    """Letters with an accent and their base letters, by canonical decomposition."""
-    source, target = [], []
-    for block in _LETTERS:
-        for code in block:
-            letter = chr(code)
-            base = unicodedata.normalize("NFD", letter)[0]
-            if base != letter:
-                source.append(letter)
-                target.append(base)
+    """Letters with accents and their base letters, by canonical decomposition; then all marks."""
+    source, target, marks = [], [], []
+    for letter in map(chr, _BASIC_PLANE):
+        if _is_mark(letter):
+            marks.append(letter)
+            continue
+        base = "".join(c for c in unicodedata.normalize("NFD", letter) if not _is_mark(c))
+        base = unicodedata.normalize("NFC", base)
+        if base != letter and len(base) == 1:
+            source.append(letter)
+            target.append(base)
     # translate() deletes what has no counterpart, so the marks come last.
-    return "".join(source) + "".join(map(chr, _MARKS)), "".join(target)
+    return "".join(source + marks), "".join(target)
 
 
 _ACCENTED, _PLAIN = _accent_table()
 _SHARP_S, _CAPITAL_SHARP_S = "ß", "ẞ"
+# Letters whose upper case would be several letters stay as they are.
+_KEPT = "".join(
+    c for c in map(chr, _BASIC_PLANE) if len(c.upper()) > 1 and c not in _ACCENTED and c != _SHARP_S
+)
+_HIDDEN = _STAND_INS[: len(_KEPT)]
 
 
 def _unless_ascii(c: Column, rewritten: Column) -> Column:
@@ -42,9 +53,11 @@ def strip_accents(c: Column) -> Column:
 
 
 def plain_upper(c: Column) -> Column:
-    """Upper case without accents; sharp s takes its capital form, not two letters."""
-    source, target = _SHARP_S + _ACCENTED, _CAPITAL_SHARP_S + _PLAIN
-    return F.upper(_unless_ascii(c, F.translate(c, source, target)))
+    """Upper case without accents; no letter becomes two, and sharp s takes its capital form."""
+    hidden = F.translate(c, _SHARP_S + _KEPT + _ACCENTED, _CAPITAL_SHARP_S + _HIDDEN + _PLAIN)
+    return F.when(F.octet_length(c) == F.char_length(c), F.upper(c)).otherwise(
+        F.translate(F.upper(hidden), _HIDDEN, _KEPT)
+    )
 
 
 def blank_to_null(c: Column) -> Column:

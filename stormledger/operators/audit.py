@@ -2,39 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stormledger.config import FIRST_YEAR, LAST_YEAR
+from stormledger.config import CLIMATE_RULES, FACT_RULES, FIRST_YEAR, LAST_YEAR, REFERENCE_RULES
 
 Rule = tuple[str, Column, int | None]
 
 
+def _ruled(fixed, conditions: dict[str, Column], *values) -> list[Rule]:
+    """Labels and tolerances of the fixed list, each with its condition."""
+    return [(label.format(*values), conditions[name], tolerated) for name, label, tolerated in fixed]
+
+
 def fact_rules(first: int = FIRST_YEAR, last: int = LAST_YEAR) -> list[Rule]:
     """(label, condition, tolerated); None only warns.
 
     The numbers are the defects the source is known to carry.
     """
-    c = F.col
-    start_year = F.year("inicio")
-    return [
-        ("conjunto nulo", c("conjunto").isNull(), 0),
-        ("início nulo", c("inicio").isNull(), 0),
-        (f"início fora de {first}–{last}", ~start_year.between(first, last), 0),
-        ("consumidores afetados negativo", c("consumidores_afetados") < 0, 0),
-        ("duração negativa (fim antes do início)", c("duracao_min") < 0, 1),
-        (
-            "afetados maior que o conjunto inteiro",
-            c("consumidores_afetados") > c("consumidores_conjunto"),
-            5_055,
-        ),
-        ("ano de competência diferente do ano de início", c("ano") != start_year, None),
-        ("duração zero", c("duracao_min") == 0, None),
-        ("nenhum consumidor afetado", c("consumidores_afetados") == 0, None),
-        ("sem detalhe de causa", c("detalhe").isNull(), None),
-        ("sem causa", c("causa").isNull(), None),
-        ("nível de tensão 9999 (sentinela de desconhecido)", c("nivel_tensao") == 9999, None),
-        ("duração acima de três dias", c("duracao_min") > 4320, None),
-    ]
+    c, start_year = F.col, F.year("inicio")
+    affected, minutes = c("consumidores_afetados"), c("duracao_min")
+    conditions = {
+        "no_zone": c("conjunto").isNull(),
+        "no_start": c("inicio").isNull(),
+        "start_outside": ~start_year.between(first, last),
+        "negative_customers": affected < 0,
+        "negative_duration": minutes < 0,
+        "more_than_all": affected > c("consumidores_conjunto"),
+        "other_year": c("ano") != start_year,
+        "no_duration": minutes == 0,
+        "no_customers": affected == 0,
+        "no_detail": c("detalhe").isNull(),
+        "no_cause": c("causa").isNull(),
+        "unknown_voltage": c("nivel_tensao") == 9999,
+        "over_three_days": minutes > 4320,
+    }
+    return _ruled(FACT_RULES, conditions, first, last)
 
 
 def file_year_rule(column: str = "ano_arquivo") -> Rule:
@@ -43,14 +47,15 @@ def file_year_rule(column: str = "ano_arquivo") -> Rule:
 
 
 def climate_rules() -> list[Rule]:
-    c = F.col
-    return [
-        ("chuva ou rajada nula", c("chuva_c").isNull() | c("rajada_c").isNull(), 0),
-        ("chuva negativa", c("chuva_c") < 0, 0),
-        ("rajada não positiva", c("rajada_c") <= 0, 0),
-        ("chuva acima de 100 mm/h", c("chuva_c") > 10_000, 0),
-        ("rajada acima de 150 km/h", c("rajada_c") > 15_000, 0),
-    ]
+    rain, gust = F.col("chuva_c"), F.col("rajada_c")
+    conditions = {
+        "missing": rain.isNull() | gust.isNull(),
+        "negative_rain": rain < 0,
+        "no_gust": gust <= 0,
+        "rain_over": rain > 10_000,
+        "gust_over": gust > 15_000,
+    }
+    return _ruled(CLIMATE_RULES, conditions)
 
 
 def _verdict(n: Column, tolerated: Column) -> Column:
@@ -105,11 +110,17 @@ def referential(
     fact: DataFrame, bridge: DataFrame, dim_conjunto: DataFrame, dim_municipio: DataFrame, geo: DataFrame
 ) -> DataFrame:
     zones = bridge.select("conjunto").distinct()
-    return (
-        _missing(fact, dim_conjunto, "conjunto", "conjunto do fato fora da ponte", None)
-        .unionByName(_missing(bridge, dim_municipio, "municipio_ibge", "município da ponte fora da dimensão", 0))
-        .unionByName(_missing(zones, geo, "conjunto", "conjunto da ponte sem geometria", 0))
-    )
+    sides = {
+        "fact_zone": (fact, dim_conjunto, "conjunto"),
+        "bridge_city": (bridge, dim_municipio, "municipio_ibge"),
+        "bridge_shape": (zones, geo, "conjunto"),
+    }
+    checked = [_missing(*sides[name], label, tolerated) for name, label, tolerated in REFERENCE_RULES]
+    return reduce(DataFrame.unionByName, checked)
+
+
+def rows_per_year(fact: DataFrame, year: str = "ano") -> DataFrame:
+    return fact.groupBy(year).agg(F.count(F.lit(1)).alias("linhas"))
 
 
 def reconcile(fact: DataFrame, cube: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ DURATION_KEYS = ["conjunto", "ano", "causa_climatica", "faixa_min"]
 
 
 def monthly_rows(fact: DataFrame) -> DataFrame:
-    """Customer-minutes are a product per row; a product of sums means nothing."""
+    """Per-row measures; all of them may be summed to any coarser key."""
     minutes, customers = F.col("duracao_min"), F.col("consumidores_afetados")
     return fact.select(
         "conjunto",

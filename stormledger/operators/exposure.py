@@ -6,6 +6,8 @@ view (local wall time). Quiet hours stay in every denominator.
 
 from __future__ import annotations
 
+from decimal import ROUND_CEILING, Decimal
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stormledger.config import (
@@ -49,7 +51,7 @@ def exposure_base(
     """
     if clip is not None:
         year = F.year(F.from_utc_timestamp(F.col("instante_utc").cast("timestamp"), times.TIME_ZONE))
-        clima = clima.filter(year.between(clip.ano_ini, clip.ano_fim))
+        clima = clima.withColumn("ano", year).filter(clip.period(clima.select(year.alias("ano")))).drop("ano")
     scale = F.lit(float(CLIMATE_SCALE))
     return clima.join(counts, _KEY, "left").select(
         *_KEY,
@@ -96,8 +98,13 @@ def gust_risk(base: DataFrame, scheme=GUST_BANDS) -> DataFrame:
 
 
 def heavy_hours(clima: DataFrame, threshold: float = STORM_MM) -> DataFrame:
-    """Rainy hours by the stored integer, so the condition reaches the file scan."""
-    return clima.filter(F.col("chuva_c") >= F.lit(threshold * CLIMATE_SCALE)).select(*_KEY)
+    """Rainy hours by the stored integer, so the condition reaches the file scan.
+
+    The bound is the least whole hundredth at or above the threshold as it is
+    written: 1.1 mm is 110, not a hair more.
+    """
+    least = (Decimal(str(threshold)) * CLIMATE_SCALE).to_integral_value(ROUND_CEILING)
+    return clima.filter(F.col("chuva_c") >= F.lit(int(least))).select(*_KEY)
 
 
 def storm_onsets(

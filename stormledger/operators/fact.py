@@ -11,7 +11,7 @@ from stormledger.functions import times
 
 
 def weather_related(detail: Column, details: Sequence[str] = WEATHER_DETAILS) -> Column:
-    """An unknown detail counts as not weather-related, so shares stay conservative."""
+    """True for the listed details, false for others and for null."""
     return F.coalesce(detail.isin(*details), F.lit(False))
 
 

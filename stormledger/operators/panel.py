@@ -14,7 +14,6 @@ from stormledger.config import (
 )
 from stormledger.functions import numbers, text, times
 from stormledger.operators.filters import Filtro, Lookups, measure
-from stormledger.operators.joins import SMALL_ROWS, at_most_rows
 
 
 def _n() -> Column:
@@ -39,21 +38,23 @@ def _weather_share() -> Column:
 
 
 def _grouped(
-    rows: DataFrame, f: Filtro, lookups: Lookups, keys: dict[str, Column], sums: dict[str, Column]
+    rows: DataFrame,
+    f: Filtro,
+    lookups: Lookups,
+    keys: dict[str, Column],
+    sums: dict[str, Column],
+    reduced: bool = False,
 ) -> DataFrame:
-    """Sums per key under the whole filter.
+    """Sums per key under the whole filter, by one plan at every size.
 
-    A set of zones that is counted to be small is broadcast against the rows.
-    Beyond that, rows are first summed per zone and key, so the join sees only
-    those sums and a zone with a third of the rows is a few of them.
+    Under a geographic condition rows are first summed per zone and key, so the
+    join meets those sums only, and a zone with a third of the rows is a few.
     """
-    kept, zones = f.rows(rows), f.zones(lookups)
+    kept, zones = f.rows(rows, reduced), f.zones(lookups)
     by = [c.alias(name) for name, c in keys.items()]
     first = [F.sum(c).alias(name) for name, c in sums.items()]
     if zones is None:
         return kept.groupBy(*by).agg(*first)
-    if at_most_rows(zones, SMALL_ROWS):
-        return kept.join(F.broadcast(zones), "conjunto", "left_semi").groupBy(*by).agg(*first)
     per_zone = kept.groupBy("conjunto", *by).agg(*first)
     inside = per_zone.join(zones, "conjunto", "left_semi")
     return inside.groupBy(*keys).agg(*[_total(name) for name in sums])
@@ -167,6 +168,19 @@ def coverage_by_year(rows: DataFrame) -> DataFrame:
     )
 
 
+def by_state(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
+    """Totals per state of the zone; zones the dimension lacks come under null.
+
+    One row per zone meets the dimension, so counting rows counts zones.
+    """
+    return (
+        _zone_totals(rows, f, lookups)
+        .join(lookups.dim_conjunto.select("conjunto", "uf"), "conjunto", "left")
+        .groupBy("uf")
+        .agg(F.count(F.lit(1)).alias("conjuntos"), _total("interrupcoes"), _total("consumidores"))
+    )
+
+
 # --- rankings -------------------------------------------------------------------
 
 
@@ -235,7 +249,7 @@ def zone_map(
 
 def hour_by_weekday(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
     keys = {"dia_semana": F.col("dia_semana"), "hora": F.col("hora")}
-    return _grouped(rows, f, lookups, keys, {"interrupcoes": _n()})
+    return _grouped(rows, f, lookups, keys, {"interrupcoes": _n()}, reduced=True)
 
 
 def weekday_matrix(cells: DataFrame) -> DataFrame:
@@ -249,7 +263,7 @@ def weekday_matrix(cells: DataFrame) -> DataFrame:
 
 def duration_distribution(rows: DataFrame, f: Filtro, lookups: Lookups) -> DataFrame:
     band = {"faixa_min": F.col("faixa_min")}
-    return _grouped(rows, f, lookups, band, {"interrupcoes": _n()}).orderBy("faixa_min")
+    return _grouped(rows, f, lookups, band, {"interrupcoes": _n()}, reduced=True).orderBy("faixa_min")
 
 
 def duration_tail(bands: DataFrame) -> DataFrame:
@@ -305,24 +319,33 @@ def year_bounds(rows: DataFrame) -> DataFrame:
 
 
 def options(rows: DataFrame, lookups: Lookups) -> DataFrame:
-    """All choices the filter offers as (lista, valor, n), n for causes only."""
-    lists = [
-        ("ufs", distinct_values(lookups.dim_conjunto, "uf"), "uf"),
-        ("regioes", distinct_values(lookups.dim_municipio, "regiao"), "regiao"),
-        ("distribuidoras", distinct_values(rows, "distribuidora"), "distribuidora"),
-    ]
-    none = F.lit(None).cast("long").alias("n")
-    out = causes_by_weight(rows).select(F.lit("causas").alias("lista"), F.col("causa").alias("valor"), "n")
-    for name, values, column in lists:
-        out = out.unionByName(
-            values.select(F.lit(name).alias("lista"), F.col(column).alias("valor"), none)
-        )
-    years = year_bounds(rows).select(
-        F.lit("anos").alias("lista"),
-        F.explode(F.array(F.col("ano_min").cast("string"), F.col("ano_max").cast("string"))).alias("valor"),
-        none,
+    """All choices the filter offers as (lista, valor, n), n for causes only; in no order.
+
+    The fact is read once: sums per cause, distributor and year are few and hold
+    all three lists.
+    """
+    found = rows.groupBy("causa", "distribuidora", _month_year().alias("ano")).agg(_total("interrupcoes"))
+    text_of = lambda c: F.col(c).cast("string")
+    entry = lambda name, value, n=F.lit(None).cast("long"): F.struct(
+        F.lit(name).alias("lista"), value.alias("valor"), n.alias("n")
+    )
+    lists = F.array(
+        entry("causas", F.col("causa"), F.col("interrupcoes")),
+        entry("distribuidoras", F.col("distribuidora")),
+        entry("anos", text_of("ano")),
+    )
+    values = found.select(F.inline(lists)).filter(F.col("valor").isNotNull())
+    values = values.groupBy("lista", "valor").agg(_total("n"))
+    is_year = F.col("lista") == "anos"
+    bounds = values.filter(is_year).agg(F.min("valor").alias("a"), F.max("valor").alias("b"))
+    years = bounds.select(F.explode(F.array("a", "b")).alias("valor"))
+    out = values.filter(~is_year).unionByName(
+        years.select(F.lit("anos").alias("lista"), "valor", F.lit(None).cast("long").alias("n"))
     )
-    return out.unionByName(years)
+    for name, df, column in (("ufs", lookups.dim_conjunto, "uf"), ("regioes", lookups.dim_municipio, "regiao")):
+        listed = df.select(F.lit(name).alias("lista"), F.col(column).alias("valor"), F.lit(None).cast("long").alias("n"))
+        out = out.unionByName(listed.filter(F.col("valor").isNotNull()).distinct())
+    return out
 
 
 def municipality_labels(dim_municipio: DataFrame, ufs: tuple[str, ...] = ()) -> DataFrame:

@@ -26,6 +26,13 @@ def base(d: Data, f: Filtro = YEARS) -> DataFrame:
     return exposure.exposure_base(fx.climate_hours(d), counts(d, f))
 
 
+def _heavy(cents: int) -> str:
+    """Heavy hours from so many hundredths on, with the hours 12 to each side."""
+    return f"""select conjunto, hora_rel, instante_utc + to_hours(hora_rel) as hora from (
+        select conjunto, instante_utc, unnest(generate_series(-12, 12))::integer as hora_rel
+        from clima where chuva_c >= {cents})"""
+
+
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({n: F.round(n, digits) for n in names})
 
@@ -186,17 +193,17 @@ def _(d):
 
 @query("storm_onsets_j13", "select * from eventos")
 def _(d):
-    return exposure.storm_onsets(fx.stored_climate(d))
+    return exposure.storm_onsets(fx.climate_hours(d))
 
 
 @query("storm_onsets_window_w4", "select * from eventos")
 def _(d):
-    return exposure.storm_onsets_windowed(fx.stored_climate(d))
+    return exposure.storm_onsets_windowed(fx.climate_hours(d))
 
 
 @query(
     "expected_rate_a11",
-    "select cast(mes as integer) as mes, cast(hora_local as integer) as hora_local, taxa_normal from esperado",
+    "select distinct cast(mes as integer) as mes, cast(hora_local as integer) as hora_local, taxa_normal from usual",
 )
 def _(d):
     return exposure.expected_rate(base(d))
@@ -208,23 +215,43 @@ def _(d):
               round(taxa_esperada, 6) as taxa_esperada, round(lift, 6) as lift from perfil""",
 )
 def _(d):
-    out = exposure.lag_profile(fx.stored_climate(d), counts(d))
+    out = exposure.lag_profile(fx.climate_hours(d), counts(d))
     return rounded(out, "taxa", "taxa_esperada", "lift")
 
 
 @query(
     "lag_profile_all_heavy_hours_a12",
-    """select cast(date_diff('hour', e.instante_utc, b.instante_utc) as integer) as hora_rel,
-              count(*) as conjunto_horas, cast(sum(b.interrupcoes) as bigint) as interrupcoes
-       from base e join base b on b.conjunto = e.conjunto
-         and b.instante_utc between e.instante_utc - interval 12 hour and e.instante_utc + interval 12 hour
-       where e.chuva >= 2 group by 1""",
+    f"""select hora_rel, count(*) as conjunto_horas, cast(sum(u.interrupcoes) as bigint) as interrupcoes,
+              round(avg(u.interrupcoes), 6) as taxa, round(avg(u.taxa_normal), 6) as taxa_esperada,
+              round(sum(u.interrupcoes) / nullif(sum(u.taxa_normal), 0), 6) as lift
+       from ({_heavy(200)}) h join usual u on u.conjunto = h.conjunto and u.instante_utc = h.hora group by hora_rel""",
 )
 def _(d):
-    out = exposure.lag_profile(
-        fx.stored_climate(d), counts(d), threshold=2, window=12, onsets_only=False
+    out = exposure.lag_profile(fx.climate_hours(d), counts(d), threshold=2, window=12, onsets_only=False)
+    return rounded(out, "taxa", "taxa_esperada", "lift")
+
+
+# Thresholds that are no binary fraction: 1.1 mm is 110 hundredths.
+for _mm, _cents in ((1.1, 110), (2.2, 220)):
+
+    @query(
+        f"lag_profile_from_{_cents}_a12",
+        f"""select hora_rel, count(*) as conjunto_horas, cast(sum(u.interrupcoes) as bigint) as interrupcoes
+           from ({_heavy(_cents)}) h join usual u on u.conjunto = h.conjunto and u.instante_utc = h.hora group by hora_rel""",
+    )
+    def _(d, mm=_mm):
+        out = exposure.lag_profile(fx.climate_hours(d), counts(d), threshold=mm, window=12, onsets_only=False)
+        return out.select("hora_rel", "conjunto_horas", "interrupcoes")
+
+    @query(
+        f"storm_onsets_from_{_cents}_j13",
+        f"""select conjunto, instante_utc from (
+              select conjunto, instante_utc, date_diff('hour', lag(instante_utc) over (
+                         partition by conjunto order by instante_utc), instante_utc) as desde
+              from clima where chuva_c >= {_cents}) where desde is null or desde > 6""",
     )
-    return out.select("hora_rel", "conjunto_horas", "interrupcoes")
+    def _(d, mm=_mm):
+        return exposure.storm_onsets(fx.climate_hours(d), mm)
 
 
 @query(
@@ -234,7 +261,7 @@ def _(d):
               round((select avg(lift) from perfil where hora_rel >= -6 and hora_rel < 0), 6) as lift_antes""",
 )
 def _(d):
-    out = exposure.lag_peak(exposure.lag_profile(fx.stored_climate(d), counts(d)))
+    out = exposure.lag_peak(exposure.lag_profile(fx.climate_hours(d), counts(d)))
     return rounded(out, "lift_pico", "lift_antes")
 
 
@@ -389,12 +416,8 @@ def _(d):
 
 @query("zone_hours_a8_j6_j7", "select * from conjunto_hora")
 def _(d):
-    # Weights are a stored table, as in the curation, so counting them is cheap.
-    path = files.scratch(d.spark, "peso_conjunto_celula")
-    files.write_table(geo.zone_weights(fx.shape_bridge(d), fx.meshes(d)), path)
-    rows = grid.zone_hours(
-        grid.grid_rows(fx.grid_steps(d)), d.spark.read.parquet(path), fx.fact_view(d, cause=False)
-    )
+    weights = geo.zone_weights(fx.shape_bridge(d), fx.meshes(d))
+    rows = grid.zone_hours(grid.grid_rows(fx.grid_steps(d)), weights, fx.fact_view(d, cause=False))
     return rows.select(
         "conjunto", "instante_utc", F.col("chuva_c").cast("int"), F.col("rajada_c").cast("int")
     )

@@ -268,6 +268,9 @@ def event_fact(d: Data) -> DataFrame:
         F.col("user_id").cast("int").alias("conjunto"),
         F.col("ts").alias("inicio"),
         F.col("event_type").alias("causa"),
+        F.concat(F.lit("D"), (F.col("user_id") % 7).cast("string")).alias("distribuidora"),
+        (F.col("event_type") == "click").alias("programada"),
+        (F.col("event_type") == "view").alias("causa_climatica"),
     )
 
 
@@ -294,18 +297,11 @@ def climate_hours(d: Data) -> DataFrame:
     return dense.join(seen.hint("shuffle_hash"), ["conjunto", "instante_utc"], "left").select(
         "conjunto",
         "instante_utc",
-        F.least(F.round(cents("chuva") / 20.0), F.lit(32000.0)).cast("short").alias("chuva_c"),
-        F.least(F.round(cents("tudo") / 5.0) + 1000.0, F.lit(32000.0)).cast("short").alias("rajada_c"),
+        F.round(cents("chuva") / 20.0).cast("int").alias("chuva_c"),
+        (F.round(cents("tudo") / 5.0) + 1000.0).cast("int").alias("rajada_c"),
     )
 
 
-def stored_climate(d: Data) -> DataFrame:
-    """The same as a written table, for queries that read it more than once."""
-    path = files.scratch(d.spark, "clima_conjunto_hora")
-    files.write_sorted(climate_hours(d), path, ["conjunto", "instante_utc"])
-    return d.spark.read.parquet(path)
-
-
 # --- geometry and grid -----------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from stormledger.config import GUST_BANDS, RAIN_BANDS
 from stormledger.functions import bands, numbers, times
 from stormledger.operators import exposure, grid
 from stormledger.operators.filters import Filtro, Lookups
-from stormledger.operators.joins import lookup_join, salted_join
+
 
 T0 = datetime(2024, 1, 1)
 
@@ -162,7 +162,7 @@ def test_multiples_and_peak(spark):
     assert tuple(exposure.lag_peak(profile).first()) == (-7, 9.0, 2.0)
 
 
-def test_weighted_mean_by_broadcast_and_by_salt(spark):
+def test_weighted_mean_of_zones_the_fact_has(spark):
     cells = spark.createDataFrame(
         [(c, T0 + timedelta(hours=h), c * 10 + h, 100 * c) for c in (1, 2, 3) for h in range(50)],
         "celula int, instante_utc timestamp_ntz, chuva_c short, rajada_c short",
@@ -173,8 +173,3 @@ def test_weighted_mean_by_broadcast_and_by_salt(spark):
     assert rows.count() == 100 and rows.filter("conjunto = 9").count() == 0
     got = rows.filter(F.col("conjunto") == 7).orderBy("instante_utc").first()
     assert (got.chuva_c, got.rajada_c) == (18, 175)  # 17.5 rounds half up
-    small = lookup_join(cells, weights, ["celula"], [F.col("instante_utc")])
-    salted = salted_join(cells, weights, ["celula"], [F.col("instante_utc")])
-    forced = lookup_join(cells, weights, ["celula"], [F.col("instante_utc")], max_rows=1)
-    key = lambda df: sorted(map(tuple, df.select("celula", "conjunto", "instante_utc", "chuva_c").collect()))
-    assert key(small) == key(salted) == key(forced)

@@ -69,7 +69,18 @@ def test_planned_has_three_states(rows, lookups):
 
 def test_reduced_filter_keeps_what_the_cube_has(rows):
     f = Filtro(distribuidoras=("D1",), causas=("A",), programada="nao", so_climaticas=True)
-    assert f.rows(cubes.weekly_rows(rows)).count() == rows.filter("causa_climatica").count()
+    assert f.rows(cubes.weekly_rows(rows), reduced=True).count() == rows.filter("causa_climatica").count()
+    with pytest.raises(ValueError, match="causa.*distribuidora.*programada"):
+        f.rows(cubes.weekly_rows(rows))
+
+
+def test_open_period_has_no_last_year(rows, lookups):
+    late = cubes.monthly_rows(rows).withColumn("mes", F.col("mes") + F.expr("interval 40 years"))
+    count = lambda f: f.rows(late).count()
+    assert count(Filtro()) == 400 and count(Filtro(ano_ini=2059)) + count(Filtro(ano_fim=2058)) == 400
+    assert count(Filtro(2059, 2059)) == 100
+    hours = cubes.weekly_rows(rows)
+    assert Filtro(ano_ini=2020).rows(hours).count() == rows.filter("ano >= 2020").count()
 
 
 def test_top_n_is_cut_by_the_shown_measure(rows, lookups):
@@ -209,25 +220,23 @@ def test_bridge_keeps_the_majority_state(spark):
     assert dim[15457].municipios == "Outra, Sarandi, Soledade" and dim[15457].municipio_ibge_unico == 4300001
 
 
-def test_many_zones_answer_like_few(rows, lookups, monkeypatch):
-    """Above the broadcast bound rows are summed per zone first; nothing else changes."""
+def test_filtered_queries_start_no_job_and_sum_before_the_join(rows, lookups, spark):
+    """One plan at every size: no row is counted while it is built."""
     f = Filtro(ufs=("MG",), regioes=("SUDESTE", "SUL"), so_climaticas=True)
     live, hours, bands = cubes.monthly_rows(rows), cubes.weekly_rows(rows), cubes.duration_rows(rows)
-
-    def answers():
-        return [
-            sorted(map(tuple, df.collect()), key=str)
-            for df in (
-                panel.series(live, f, lookups),
-                panel.by_cause(live, f, lookups),
-                panel.distributor_ranking(live, f, lookups),
-                panel.hour_by_weekday(hours, f, lookups),
-                panel.duration_distribution(bands, f, lookups),
-            )
-        ]
-
-    few = answers()
-    monkeypatch.setattr(panel, "SMALL_ROWS", 0)
-    assert answers() == few and all(few)
-    plan = panel.series(live, f, lookups)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Aggregate") >= 2
+    spark.sparkContext.setJobGroup("build", "building plans")
+    built = [
+        panel.series(live, f, lookups),
+        panel.by_cause(live, f, lookups),
+        panel.distributor_ranking(live, f, lookups),
+        panel.hour_by_weekday(hours, f, lookups),
+        panel.duration_distribution(bands, f, lookups),
+        panel.median_duration(bands, f, lookups),
+        panel.options(live, lookups),
+    ]
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setJobGroup("", "")
+    assert all(df.count() for df in built)
+    assert built[0]._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") >= 2
+    kept = rows.filter("causa_climatica and conjunto in (1, 3, 5)").count()
+    assert built[0].agg(F.sum("interrupcoes")).first()[0] == kept
