@@ -7,13 +7,13 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, functions as F
 
 from stormledger.config import GUST_BANDS, RAIN_BANDS
-from stormledger.functions import bands, geometry, times
+from stormledger.functions import bands, times
 from stormledger.operators import audit, exposure, geo, grid
 from stormledger.operators.filters import Filtro
-from stormledger.plans import fixtures as fx
+from stormledger.plans import cycle, fixtures as fx
 from stormledger.plans.fixtures import Data
 from stormledger.plans.registry import query
-from stormledger.sources import files
+from stormledger.sources import files, layers
 
 YEARS = Filtro(2024, 2024)
 
@@ -414,6 +414,21 @@ def _(d):
     )
 
 
+@query("climate_in_two_loads_s11_o3", "select * from conjunto_hora")
+def _(d):
+    # Even and odd months of the source in two calls; the second must leave the first alone.
+    root = files.scratch(d.spark, "cargas")
+    paths = layers.Paths(f"{root}/bronze", f"{root}/prata", f"{root}/ouro")
+    files.write_fact(fx.stored_fact(d, cause=False).withColumn("ano_arquivo", F.col("ano")), paths.silver(layers.FACT))
+    files.write_table(geo.zone_weights(fx.shape_bridge(d), fx.meshes(d)), paths.silver("peso_conjunto_celula"))
+    odd = F.month("valid_time") % 2 == 1
+    for months in (odd, ~odd):
+        cycle.curate_climate(d.spark, paths, fx.grid_steps(d).filter(months))
+    return d.spark.read.parquet(paths.silver("clima_conjunto_hora")).select(
+        "conjunto", "instante_utc", F.col("chuva_c").cast("int"), F.col("rajada_c").cast("int")
+    )
+
+
 @query("zone_hours_a8_j6_j7", "select * from conjunto_hora")
 def _(d):
     weights = geo.zone_weights(fx.shape_bridge(d), fx.meshes(d))

@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stormledger.config import CLIMATE_LATENCY_DAYS, FIRST_YEAR, MAX_PROVISIONAL_DAYS
+from stormledger.sources import versions
 
 MANIFEST_COLUMNS = [
     "chave", "url", "last_modified", "size", "hash", "arquivo", "baixado_em", "linhas",
 ]
+MANIFEST_SCHEMA = (
+    "chave string, url string, last_modified string, size long, hash string, "
+    "arquivo string, baixado_em string, linhas long"
+)
+MANIFEST = "manifesto"
 _YEAR = r"(20\d{2})"
 
 
+def load_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest last saved below ``root``; empty before the first."""
+    path = versions.current(spark, root).get(MANIFEST)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path) if path else spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
+def save_manifest(spark: SparkSession, root: str, manifest: DataFrame) -> DataFrame:
+    """Save as a new version, so a frame that still reads the old one may be saved; returns what was saved."""
+    path = versions.save(spark, root, MANIFEST, lambda to: manifest.select(*MANIFEST_COLUMNS).write.parquet(to))
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+
+
 def pick_resources(resources: DataFrame, first_year: int = FIRST_YEAR) -> DataFrame:
     """One resource per year: Parquet before ZIP, then the first listed.
 

@@ -16,11 +16,17 @@ ZSTD_LEVEL = "9"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared storage the cluster names.
+    """A fresh folder in the shared storage that ``spark.checkpoint.dir`` names.
 
-    Only where ``spark.checkpoint.dir`` is unset, as in tests, a local one is made.
+    A cluster must name one, since executors do not see each other's disks. Only
+    a session on one machine, as in tests, gets a folder of its own, once.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stormledger-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="stormledger-")
+        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -100,20 +106,25 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     _writer(df, mode).parquet(path)
 
 
-def write_fact(df: DataFrame, path: str, year: str = "ano_arquivo", block_days: int = 30) -> None:
+def write_fact(df: DataFrame, path: str, year: str = "ano_arquivo") -> None:
     """Stored fact, one folder per source year, sorted for compression.
 
-    Rows are hashed by year, zone and block of time: one pass over the source,
-    where ranges would first read all of it for a sample, and a zone with a
-    third of the rows still spreads over its blocks. Only the years present in
-    ``df`` are replaced. The folder key is the year of the source file, so the
-    year the data claims stays a column of its own.
+    Ranges over (year, zone, start): a task meets one year or two, so there are
+    about as many files as tasks, each with zones of its own, and a zone with a
+    third of the rows is cut along time. Only the years present in ``df`` are
+    replaced. The folder key is the year of the source file, so the year the
+    data claims stays a column of its own.
     """
-    block = F.floor(F.col("inicio_s") / F.lit(block_days * 86_400))
-    spread = df.repartition(F.col(year), F.col("conjunto"), block)
-    _writer(spread.sortWithinPartitions(year, "conjunto", "inicio_s"), "overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(year).parquet(path)
+    keys = [year, "conjunto", "inicio_s"]
+    spread = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    _writer(spread, "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+
+
+def write_periods(df: DataFrame, path: str, period: str, keys: list[str]) -> None:
+    """Replace the periods present in ``df``, sorted by the keys inside each."""
+    order = [period, *keys]
+    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    _writer(spread, "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
 
 
 def file_metrics(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
@@ -148,8 +159,15 @@ def stale_outputs(inputs: DataFrame, outputs: DataFrame, key: str = "competencia
 
 
 def modification_times(spark: SparkSession, path: str, period: str) -> DataFrame:
-    """(competencia, modificado) per file; ``period`` is a pattern with one group."""
-    files = spark.read.format("binaryFile").load(path).select("path", "modificationTime")
+    """(competencia, modificado) per file; ``period`` is a pattern with one group.
+
+    A folder that is not there yet has no files.
+    """
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = listing.load(path).select("path", "modificationTime")
+    except AnalysisException:
+        return spark.createDataFrame([], "competencia string, modificado timestamp")
     return files.select(
         F.regexp_extract("path", period, 1).alias("competencia"),
         F.col("modificationTime").alias("modificado"),

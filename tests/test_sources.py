@@ -189,8 +189,14 @@ def test_cycle_from_files_to_panel(spark, base):
     assert sizes["mart_clima_perfil_defasagem"] > 0 and sizes["mart_clima_risco_por_chuva"] == 2
     assert cycle.published_totals(cycle.publish(spark, paths)).first().tabelas == len(sizes) == 10
 
-    # Local: cubes are live over the fact.
+    # Published after the fact was written: queries read the stored cube, not the fact.
     layers.register(spark, paths)
+    read = layers.measure_rows(spark, "mart_mensal").inputFiles()
+    assert read and all("/ouro/mart_mensal/" in f for f in read)
+    # Written again since: cubes are live over the fact.
+    cycle.curate_fact(spark, paths)
+    layers.register(spark, paths)
+    assert all("/prata/interrupcoes/" in f for f in layers.measure_rows(spark, "mart_mensal").inputFiles())
     assert layers.mode(spark) == "completo" and "clima_conjunto_hora" in layers.tables(spark)
     live = panel.coverage_by_year(layers.measure_rows(spark, "mart_mensal")).collect()
     assert [(r.ano, r.interrupcoes) for r in live] == [(2025, 30), (2026, 1)]
@@ -212,14 +218,94 @@ def test_monthly_cycle_works_only_on_what_changed(spark, base):
         [("Interrupções 2025", "PARQUET", 0, "u0", "d1", 1, None), ("Interrupções 2026", "PARQUET", 1, "u1", "d1", 1, None)],
         "name string, format string, pos int, url string, last_modified string, size long, hash string",
     )
-    first = cycle.monthly_cycle(spark, paths, offered, spark.createDataFrame([], MANIFEST))
-    assert first["anos"] == [2025, 2026] and "mart_mensal" in first["tabelas"]
-    known = spark.createDataFrame(first["manifesto"].collect(), first["manifesto"].schema)
+    asked = []
+    there = lambda ano, url: asked.append((ano, url)) or True
+    known = catalog.load_manifest(spark, paths.ouro)
+    assert known.count() == 0
+    first = cycle.monthly_cycle(spark, paths, offered, known, there)
+    assert first["anos"] == [2025, 2026] and "mart_mensal" in first["tabelas"] and asked == [(2025, "u0"), (2026, "u1")]
+    known = catalog.save_manifest(spark, paths.ouro, first["manifesto"])
     assert {r.arquivo for r in known.collect()} == {"interrupcoes-2025.parquet", "interrupcoes-2026.parquet"}
-    again = cycle.monthly_cycle(spark, paths, offered, known)
-    assert again["anos"] == [] and again["tabelas"] == []
+    again = cycle.monthly_cycle(spark, paths, offered, known, there)
+    assert again["anos"] == [] and again["tabelas"] == [] and len(asked) == 2
     newer = offered.withColumn("size", F.when(F.col("pos") == 1, 2).otherwise(F.col("size")).cast("long"))
-    assert cycle.monthly_cycle(spark, paths, newer, known)["anos"] == [2026]
+    # A change that could not be fetched leaves the manifest as it was and is found again.
+    lost = cycle.monthly_cycle(spark, paths, newer, known, lambda ano, url: False)
+    assert lost["anos"] == [] and sorted(lost["manifesto"].collect()) == sorted(known.collect())
+    second = cycle.monthly_cycle(spark, paths, newer, catalog.load_manifest(spark, paths.ouro), there)
+    assert second["anos"] == [2026]
+    saved = catalog.save_manifest(spark, paths.ouro, second["manifesto"])
+    assert {r.chave: r.size for r in saved.collect()}["interrupcoes:2026"] == 2
+    report, problems = cycle.audit_all(spark, paths)
+    assert {r.tabela for r in report.select("tabela").distinct().collect()} == {"interrupcoes", "clima_conjunto_hora", "referencias"}
+    assert len(problems) == report.filter("situacao = 'FALHA'").count()
+
+
+def test_two_files_of_a_year_stop_the_load(spark, tmp_path):
+    paths = layers.Paths(*[str(tmp_path / x) for x in ("bronze", "prata", "ouro")])
+    assert cycle.curate_fact(spark, paths) == []
+    spark.range(1).write.parquet(f"{paths.bronze}/interrupcoes-2025.parquet")
+    spark.range(1).write.parquet(f"{paths.bronze}/copia/interrupcoes-2025.parquet")
+    assert cycle.source_years(spark, paths.bronze).count() == 1
+    spark.range(1).write.parquet(f"{paths.bronze}/interrupcoes-2025-novo.parquet")
+    with pytest.raises(ValueError, match="two files for 2025"):
+        cycle.curate_fact(spark, paths)
+
+
+def test_fact_files_follow_the_tasks_not_tasks_times_years(spark, tmp_path):
+    rows = spark.range(20_000).select(
+        (2015 + F.col("id") % 7).cast("int").alias("ano_arquivo"), (F.col("id") % 997).cast("int").alias("conjunto"),
+        F.col("id").cast("int").alias("inicio_s"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        files.write_fact(rows, str(tmp_path / "fato"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    per_year = files.file_metrics(spark, str(tmp_path / "fato"), ["ano_arquivo"]).collect()
+    assert len(per_year) == 7 and all(r.arquivos <= 200 / 7 + 2 for r in per_year)
+
+
+def test_months_of_climate_do_not_touch_each_other(spark, base, tmp_path):
+    """January, February, January again: 744 and 696 hours each time."""
+    old, *_, steps = base
+    paths = layers.Paths(old.bronze, str(tmp_path / "prata"), str(tmp_path / "ouro"))
+    for name in ("interrupcoes", "peso_conjunto_celula"):
+        table = spark.read.parquet(old.silver(name))
+        writer = table.write.partitionBy("ano_arquivo") if name == "interrupcoes" else table.write
+        writer.parquet(paths.silver(name))
+    one = steps.limit(1)
+
+    def month(first, hours):
+        at = F.timestamp_seconds(F.lit(first) + F.col("h") * 3600).cast("timestamp_ntz")
+        return one.crossJoin(spark.range(hours).withColumnRenamed("id", "h")).withColumn("valid_time", at).drop("h")
+
+    january, february = month(1704067200, 744), month(1706745600, 696)
+    loads = [(january, ["202401"], {202401: 744}), (february, ["202402"], {202401: 744, 202402: 696}), (january, ["202401"], {202401: 744, 202402: 696})]
+    for load, stale, hours in loads:
+        assert cycle.curate_climate(spark, paths, load) == stale
+        stored = spark.read.parquet(paths.silver("clima_conjunto_hora"))
+        zones = stored.select("conjunto").distinct().count()
+        assert {r.competencia: r["count"] / zones for r in stored.groupBy("competencia").count().collect()} == hours
+        assert spark.read.parquet(paths.silver("clima_grade")).select("instante_utc").distinct().count() == sum(hours.values())
+    assert cycle.curate_climate(spark, paths, february, everything=True) == ["202401", "202402"]
+
+
+def test_zones_of_all_states_need_a_box(spark, base):
+    paths, _, _, mesh, _ = base
+    with pytest.raises(ValueError, match="box"):
+        cycle.curate_weights(spark, paths, mesh, uf=None)
+
+
+def test_old_versions_are_pruned(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(4):
+        versions.save_all(spark, root, {t: lambda path, n=n: spark.range(n + 1).write.parquet(path) for t in ("a", "b")})
+    gone = versions.prune(spark, root, keep=2)
+    assert len(gone) == 4 and not any(os.path.exists(p) for p in gone)
+    assert {t: spark.read.parquet(p).count() for t, p in versions.current(spark, root).items()} == {"a": 4, "b": 4}
 
 
 def test_scratch_prefers_the_shared_folder(spark):
