@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
-from stormledger.config import GUST_BANDS, RAIN_BANDS
+from stormledger.config import GUST_BANDS, RAIN_BANDS, WEATHER_DETAILS
 from stormledger.functions import bands, times
 from stormledger.operators import audit, exposure, geo, grid
 from stormledger.operators.filters import Filtro
@@ -313,11 +313,10 @@ def _(d):
 @query(
     "cell_overlap_g1_j5",
     """select k as municipio_ibge, celula, lat, lon, round(area, 6) as area from sobreposicao
-       where round(area, 6) > 0""",
+       where area > 1e-7""",
 )
 def _(d):
-    out = rounded(geo.cell_overlap(fx.meshes(d)), "area")
-    return out.filter(F.col("area") > 0)
+    return rounded(geo.cell_overlap(fx.meshes(d)).filter(F.col("area") > 1e-7), "area")
 
 
 @query(
@@ -365,14 +364,26 @@ def _(d):
     "zone_geometry_a30_j3",
     """select v.conjunto, round(sum(mx) / sum(area), 4) as lon, round(sum(my) / sum(area), 4) as lat,
               round(sum(area), 6) as area_graus,
-              cast(sum((select count(*) from aneis a where a.k = v.k and externo)) as bigint) as partes
+              cast(sum((select count(*) from aneis a where a.k = v.k and externo)) as bigint) as partes,
+              cast(sum((select sum(len(p)) from aneis a where a.k = v.k)) as bigint) as pontos,
+              round(sum((select sum(list_sum(list_transform(p, lambda q: q.x))) from aneis a where a.k = v.k)), 3) as soma_x,
+              round(sum((select sum(list_sum(list_transform(p, lambda q: q.y))) from aneis a where a.k = v.k)), 3) as soma_y
        from vinculos v join contorno t on t.k = v.k group by v.conjunto""",
 )
 def _(d):
     zones = geo.zone_geometry(fx.shape_bridge(d), fx.meshes(d))
     # Every part opens with a double bracket; its holes do not.
     parts = F.regexp_count("wkt", F.lit(r"\(\(")).cast("long").alias("partes")
-    out = zones.select("conjunto", "lon", "lat", "area_graus", parts)
+    # Every coordinate is read back from the text; rings are written as they came.
+    rings = F.transform(F.regexp_extract_all("wkt", F.lit(r"[^()]*[0-9][^()]*"), F.lit(0)), lambda r: F.split(F.trim(r), r"\s*,\s*"))
+    points = F.aggregate(rings, F.lit(0), lambda a, r: a + F.size(r)).cast("long").alias("pontos")
+    axis = lambda k: F.aggregate(
+        F.flatten(rings),
+        F.lit(0.0),
+        lambda a, p: a + F.get(F.split(p, " "), F.lit(k)).cast("double"),
+    )
+    sums = [F.round(axis(k), 3).alias(name) for k, name in enumerate(("soma_x", "soma_y"))]
+    out = zones.select("conjunto", "lon", "lat", "area_graus", parts, points, *sums)
     return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
 
 
@@ -429,6 +440,45 @@ def _(d):
     )
 
 
+@query(
+    "weights_of_one_state_j4",
+    "select conjunto, celula, lat, lon, round(peso, 6) as peso from pesos where conjunto % 5 = 1",
+)
+def _(d):
+    root = files.scratch(d.spark, "pesos")
+    paths = layers.Paths(f"{root}/bronze", f"{root}/prata", f"{root}/ouro")
+    bridge = fx.shape_bridge(d)
+    state = F.concat(F.lit("U"), (F.col("conjunto") % 5).cast("string")).alias("uf")
+    files.write_table(bridge, paths.silver("ponte_conjunto_municipio"))
+    files.write_table(bridge.select("conjunto", state).distinct(), paths.silver("dim_conjunto"))
+    cycle.curate_weights(d.spark, paths, fx.meshes(d), uf="U1")
+    return rounded(d.spark.read.parquet(paths.silver("peso_conjunto_celula")), "peso")
+
+
+@query(
+    "published_tables_s13_s15_s16_a41",
+    """select 'mart_mensal' as tabela, count(*) as linhas, 'publicado' as modo from mart_mensal
+       union all select 'mart_hora_semana', count(*), 'publicado' from mart_hora_semana
+       union all select 'mart_duracao', count(*), 'publicado' from mart_duracao
+       union all select 'dim_conjunto', count(*), 'publicado' from dim_conjunto
+       union all select 'mart_clima_risco_por_chuva', count(distinct faixa_id), 'publicado' from marcado_chuva
+       union all select 'mart_clima_risco_por_rajada', count(distinct faixa_id), 'publicado' from marcado_rajada
+       union all select 'mart_clima_perfil_defasagem', count(*), 'publicado' from perfil""",
+)
+def _(d):
+    root = files.scratch(d.spark, "publicado")
+    paths = layers.Paths(f"{root}/bronze", f"{root}/prata", f"{root}/ouro", published=True)
+    # The published flag knows the real causes only; the brands that play the part take one's name.
+    detail = F.when(F.col("detalhe").isin(*fx.WEATHER_BRANDS), WEATHER_DETAILS[0]).otherwise(F.col("detalhe"))
+    fact = fx.stored_fact(d).withColumn("detalhe", detail)
+    files.write_fact(fact.withColumn("ano_arquivo", F.col("ano")), paths.silver(layers.FACT))
+    files.write_table(fx.dim_conjunto(d), paths.silver("dim_conjunto"))
+    files.write_periods(fx.climate_hours(d).withColumn(layers.PERIOD, F.date_format("instante_utc", "yyyyMM")), paths.silver("clima_conjunto_hora"), layers.PERIOD, ["conjunto", "instante_utc"])
+    sizes = cycle.publish(d.spark, paths)
+    layers.register(d.spark, paths)
+    return sizes.select("tabela", "linhas", F.lit(layers.mode(d.spark)).alias("modo"))
+
+
 @query("zone_hours_a8_j6_j7", "select * from conjunto_hora")
 def _(d):
     weights = geo.zone_weights(fx.shape_bridge(d), fx.meshes(d))
