@@ -366,8 +366,8 @@ def _(d):
               round(sum(area), 6) as area_graus,
               cast(sum((select count(*) from aneis a where a.k = v.k and externo)) as bigint) as partes,
               cast(sum((select sum(len(p)) from aneis a where a.k = v.k)) as bigint) as pontos,
-              round(sum((select sum(list_sum(list_transform(p, lambda q: q.x))) from aneis a where a.k = v.k)), 3) as soma_x,
-              round(sum((select sum(list_sum(list_transform(p, lambda q: q.y))) from aneis a where a.k = v.k)), 3) as soma_y
+              round(sum((select sum(list_sum(list_transform(p, lambda q: round(q.x, 5)))) from aneis a where a.k = v.k)), 5) as soma_x,
+              round(sum((select sum(list_sum(list_transform(p, lambda q: round(q.y, 5)))) from aneis a where a.k = v.k)), 5) as soma_y
        from vinculos v join contorno t on t.k = v.k group by v.conjunto""",
 )
 def _(d):
@@ -382,7 +382,7 @@ def _(d):
         F.lit(0.0),
         lambda a, p: a + F.get(F.split(p, " "), F.lit(k)).cast("double"),
     )
-    sums = [F.round(axis(k), 3).alias(name) for k, name in enumerate(("soma_x", "soma_y"))]
+    sums = [F.round(axis(k), 5).alias(name) for k, name in enumerate(("soma_x", "soma_y"))]
     out = zones.select("conjunto", "lon", "lat", "area_graus", parts, points, *sums)
     return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
 
