@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger.config import GUST_BANDS, RAIN_BANDS, WEATHER_DETAILS
 from stormledger.functions import bands, times
@@ -372,19 +372,34 @@ def _(d):
 )
 def _(d):
     zones = geo.zone_geometry(fx.shape_bridge(d), fx.meshes(d))
-    # Every part opens with a double bracket; its holes do not.
+    out = zones.select("conjunto", "lon", "lat", "area_graus", *_outline())
+    return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
+
+
+@query(
+    "municipality_geometry_a30",
+    """select t.k as municipio_ibge, round(mx / area, 4) as lon, round(my / area, 4) as lat, round(area, 6) as area_graus,
+              count(*) filter (externo) as partes, sum(len(p))::bigint as pontos,
+              round(sum(list_sum(list_transform(p, lambda q: round(q.x, 5)))), 5) as soma_x,
+              round(sum(list_sum(list_transform(p, lambda q: round(q.y, 5)))), 5) as soma_y
+       from contorno t join aneis a on a.k = t.k group by t.k, mx, my, area""",
+)
+def _(d):
+    out = geo.municipality_geometry(fx.meshes(d))
+    out = out.select("municipio_ibge", "lon", "lat", "area_graus", *_outline())
+    return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
+
+
+def _outline() -> list[Column]:
+    """Parts, points and sums of both coordinates, read back from the well-known text."""
+    # Every part opens with a double bracket; its holes do not. Rings are written as they came.
     parts = F.regexp_count("wkt", F.lit(r"\(\(")).cast("long").alias("partes")
-    # Every coordinate is read back from the text; rings are written as they came.
     rings = F.transform(F.regexp_extract_all("wkt", F.lit(r"[^()]*[0-9][^()]*"), F.lit(0)), lambda r: F.split(F.trim(r), r"\s*,\s*"))
     points = F.aggregate(rings, F.lit(0), lambda a, r: a + F.size(r)).cast("long").alias("pontos")
     axis = lambda k: F.aggregate(
-        F.flatten(rings),
-        F.lit(0.0),
-        lambda a, p: a + F.get(F.split(p, " "), F.lit(k)).cast("double"),
+        F.flatten(rings), F.lit(0.0), lambda a, p: a + F.get(F.split(p, " "), F.lit(k)).cast("double")
     )
-    sums = [F.round(axis(k), 5).alias(name) for k, name in enumerate(("soma_x", "soma_y"))]
-    out = zones.select("conjunto", "lon", "lat", "area_graus", parts, points, *sums)
-    return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
+    return [parts, points, *[F.round(axis(k), 5).alias(name) for k, name in enumerate(("soma_x", "soma_y"))]]
 
 
 # --- grid --------------------------------------------------------------------------------------
@@ -479,6 +494,16 @@ def _(d):
     return sizes.select("tabela", "linhas", F.lit(layers.mode(d.spark)).alias("modo"))
 
 
+@query(
+    "dense_base_clipped_to_years_j11",
+    """select conjunto, count(*) as horas, cast(sum(interrupcoes) as bigint) as n from base
+       where year(instante_utc - interval 3 hour) = 2024 group by conjunto""",
+)
+def _(d):
+    clipped = exposure.exposure_base(fx.climate_hours(d), counts(d), clip=YEARS)
+    return clipped.groupBy("conjunto").agg(F.count(F.lit(1)).alias("horas"), F.sum("interrupcoes").alias("n"))
+
+
 @query("zone_hours_a8_j6_j7", "select * from conjunto_hora")
 def _(d):
     weights = geo.zone_weights(fx.shape_bridge(d), fx.meshes(d))
