@@ -16,7 +16,6 @@ from stormledger.config import EPOCH
 from stormledger.functions import times
 from stormledger.operators import fact
 from stormledger.operators.filters import Lookups
-from stormledger.sources import files
 
 # --- fixed values -----------------------------------------------------------
 

@@ -1,10 +1,9 @@
 import os
-from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from stormledger.operators import cubes, panel
+from stormledger.operators import panel
 from stormledger.operators.filters import Filtro
 from stormledger.plans import cycle
 from stormledger.sources import catalog, files, layers, versions
