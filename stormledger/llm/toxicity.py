@@ -34,7 +34,7 @@ TABLE_BITS = 20
 ALPHABET = 256
 WORD = re.compile(r"[^\W\d_]+")
 #: Documents whose words are looked up together, and words a worker remembers.
-TOGETHER, REMEMBERED = 256, 1_000_000
+TOGETHER, REMEMBERED = 256, 300_000
 #: Labelled rows that calibrate the score, chosen by a hash of their id.
 CALIBRATION_ROWS = 20_000
 #: Ratios count as far as they are over these; with what is added before a logarithm.
@@ -264,7 +264,8 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col=
     fold = crc32_mod("id", 5).cast("int")
     known = labels.filter(F.col("toxic").isin(0, 1)).select(F.col(id_col).alias("lid"), F.col("toxic").cast("int").alias("toxic")).distinct()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("fold", fold).filter("fold != 0")
-    return rows.join(known, F.col("id") == F.col("lid")).select("id", "fold", "text", "toxic")
+    # Labels grow with the documents: one plan at every size, which moves the texts that have a label once.
+    return rows.join(known.hint("merge"), F.col("id") == F.col("lid")).select("id", "fold", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text") -> Model:
