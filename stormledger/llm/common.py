@@ -9,6 +9,8 @@ import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
 _SHIPPED: set[str] = set()
 
 
@@ -38,8 +40,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once per application."""
+    """Make the session fit for Python over whole documents.
+
+    Batches for Python get ``BATCH_ROWS`` rows at most, since a batch of long
+    documents must fit a worker; and this package is sent to the executors, once
+    per application.
+    """
     sc = spark.sparkContext
+    if int(spark.conf.get(BATCH)) > BATCH_ROWS:
+        spark.conf.set(BATCH, BATCH_ROWS)
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -22,8 +22,9 @@ WINDOW = 8
 MIN_LITERALS = 4
 #: Share of an item's windows that must be found.
 COVERAGE = 0.5
-#: Rows of benchmark windows (20 bytes each) up to which they are sent to all executors.
-BROADCAST_ROWS = 4_000_000
+#: Rows of benchmark windows (some 250 bytes each) up to which they are sent to all executors;
+#: beyond, windows of documents and benchmark meet in a shuffled hash join.
+BROADCAST_ROWS = 400_000
 # Names of units, singular and plural.
 UNITS = (
     "percent cm mm m km inch inches foot feet yard yards mile miles g kg mg lb lbs pound pounds ounce ounces ton tons "
