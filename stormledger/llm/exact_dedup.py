@@ -24,6 +24,8 @@ STATE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 MEMORY = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
 MEMORY_MB = "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
+#: Stores of a query that has ended are closed at the next upkeep.
+UPKEEP = "spark.sql.streaming.stateStore.maintenanceInterval"
 #: Many small stores: no space is set aside ahead of use, and a batch saves its changes only.
 PREALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
@@ -85,7 +87,7 @@ def advance(spark: SparkSession, folders: Folders, files_per_batch: int = 1000)
     def save(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{folders.changes}/batch={batch}")
 
-    wanted = {STATE: ROCKSDB, MEMORY: "true", MEMORY_MB: "200", PREALLOCATE: "false", CHANGELOG: "true"}
+    wanted = {STATE: ROCKSDB, MEMORY: "true", MEMORY_MB: "100", UPKEEP: "15s", PREALLOCATE: "false", CHANGELOG: "true"}
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

@@ -29,7 +29,7 @@ FLOOR, GRAM_FLOOR = -8.0, -4.0
 #: Words after which more of the same evidence no longer raises the score.
 ENOUGH_WORDS = 20
 #: Scores that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
