@@ -172,10 +172,15 @@ def exact_dedup(docs: DataFrame, digest=sha256, id_col="doc_id", text_col="text"
 
 
 def mark_kept(rows: DataFrame) -> DataFrame:
-    """kept: the row holds its group's id and is the first of the rows that repeat it."""
+    """kept: the row holds its group's id and is the first of the rows that repeat it.
+
+    Rows are dealt by id, not by digest, so copies of one text lie apart again.
+    """
     holds = F.col("id").eqNullSafe(F.col("keep_id"))
-    repeats = Window.partitionBy("id", "digest").orderBy("locator")
-    return rows.withColumn("kept", holds & (F.row_number().over(repeats) == 1))
+    # Rows without id are dealt by a part of their digest.
+    near = Window.partitionBy("id", F.pmod(F.xxhash64("digest"), F.lit(1024))).orderBy("digest", "locator")
+    first = ~F.col("digest").eqNullSafe(F.lag("digest").over(near))
+    return rows.withColumn("kept", holds & first)
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
