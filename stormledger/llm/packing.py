@@ -44,8 +44,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER
         encoder = word_encoder(tokenizer)
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                ids = np.append(encoder.ids(text.as_py() or ""), np.uint16(END_ID)).astype("<u4")
+            for i, own in enumerate(encoder.stream(t.as_py() for t in batch.column(1))):
+                ids = np.append(own, np.uint16(END_ID)).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
                     row.append(i)

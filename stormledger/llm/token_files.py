@@ -56,8 +56,8 @@ def token_ids(docs: DataFrame, tokenizer: str = TOKENIZER, id_col="doc_id", text
         encoder = byte_encoder(tokenizer)
         for batch in batches:
             n, low, high = [], [], []
-            for text in batch.column(1):
-                ids = np.append(encoder.ids(text.as_py() or ""), np.uint16(END_ID)).astype("<u2")
+            for own in encoder.stream(t.as_py() for t in batch.column(1)):
+                ids = np.append(own, np.uint16(END_ID)).astype("<u2")
                 planes = ids.view(np.uint8).reshape(-1, 2)
                 n.append(len(ids))
                 low.append(planes[:, 0].tobytes())
@@ -79,8 +79,8 @@ def id_counts(ids: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for low, high in zip(batch.column(0), batch.column(1)):
-                total += np.bincount(_joined(low.as_py(), high.as_py()), minlength=1 << 16)
+            low, high = (b"".join(batch.column(k).to_pylist()) for k in (0, 1))
+            total += np.bincount(_joined(low, high), minlength=1 << 16)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["token", "n"])
 

@@ -8,13 +8,20 @@ the tokenizer for the whole text, which the tests compare.
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Iterator
+from itertools import chain, filterfalse, islice
 
 import numpy as np
 
+# A task has one core; the library would otherwise start threads of its own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 800_000
+#: Texts whose new pieces are encoded together.
+TOGETHER = 128
 #: Letters that the quick cut knows: ASCII, and Latin letters that stay one letter when folded or composed.
 LATIN = "a-zA-ZÀ-ÖØ-öø-ÿ"
 #: Texts of these characters only are cut here.
@@ -28,16 +35,22 @@ BYTE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LATIN}]+| ?[0-9]+| ?[^\s{LATIN}
 class Memory(dict):
     """Ids of a piece as 16-bit little-endian bytes, encoded on first sight."""
 
-    def __init__(self, encode: Callable[[str], list[int]]):
+    def __init__(self, tokenizer):
         super().__init__()
-        self.encode = encode
+        self.tokenizer = tokenizer
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece), "<u2").tobytes()
-        if len(self) >= REMEMBERED:
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Encode all pieces that are new in one call; start anew when there are too many."""
+        new = set(filterfalse(self.__contains__, pieces))
+        if len(self) + len(new) > REMEMBERED:
             self.clear()
-        self[piece] = ids
-        return ids
+        found = list(new)
+        encoded = self.tokenizer.encode_batch_fast(found, add_special_tokens=False)
+        self.update(zip(found, (np.array(e.ids, "<u2").tobytes() for e in encoded)))
+
+    def __missing__(self, piece: str) -> bytes:
+        self.learn([piece])
+        return self[piece]
 
 
 class Encoder:
@@ -49,14 +62,28 @@ class Encoder:
         self.tokenizer, self.cut, self.fold = Tokenizer.from_file(path), cut, fold
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids beyond 16 bits")
-        self.memory = Memory(lambda piece: self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        self.memory = Memory(self.tokenizer)
 
-    def ids(self, text: str) -> np.ndarray:
-        """Little-endian 16-bit ids of the text, without special tokens."""
+    def pieces(self, text: str) -> list[str] | None:
+        """The pieces of a text that can be cut here, else None."""
         if "<|" in text or not PLAIN.match(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
-        pieces: Iterable[str] = self.cut.findall(text.lower() if self.fold else text)
-        return np.frombuffer(b"".join(map(self.memory.__getitem__, pieces)), "<u2")
+            return None
+        return self.cut.findall(text.lower() if self.fold else text)
+
+    def stream(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Little-endian 16-bit ids of each text, without special tokens; null counts as empty."""
+        texts = iter(texts)
+        while part := [t or "" for t in islice(texts, TOGETHER)]:
+            cut = [self.pieces(t) for t in part]
+            self.memory.learn(chain.from_iterable(filter(None, cut)))
+            for text, pieces in zip(part, cut):
+                if pieces is None:
+                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
+                else:
+                    yield np.frombuffer(b"".join(map(self.memory.__getitem__, pieces)), "<u2")
+
+    def ids(self, text: str) -> np.ndarray:
+        return next(self.stream([text]))
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -65,8 +92,6 @@ _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 def _encoder(name: str, cut: re.Pattern, fold: bool) -> Encoder:
     key = (name, fold)
     if key not in _ENCODERS:
-        import os
-
         path = name
         if not os.path.exists(path):
             import public_tokenizers
