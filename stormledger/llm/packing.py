@@ -6,7 +6,8 @@ functions turn the lengths into lower bounds on the number of bins; a group that
 meets its bound, and wastes nothing that others could use, is settled. Groups
 with a gap give up their emptiest bins; these documents meet those of other
 groups in fewer groups, and best fit runs again, until one group holds all that
-is left or nothing is gained.
+is left, the given-up bins have not become fewer for two rounds, or the rounds are
+used up; the last round settles all its bins.
 
 Only (identifier, place, length, checksum) rows move, never texts or ids.
 """
@@ -29,6 +30,8 @@ END_ID = 1
 PIECES_PER_GROUP = 16384
 #: Bins with more than this share of free places are given up by a group with a gap.
 LOOSE = 1 / 64
+#: Rounds at most, and rounds without fewer given-up bins after which packing stops; a sequence id has room for 127.
+ROUNDS, IDLE = 64, 2
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -125,17 +128,20 @@ def _packed_group(table: pa.Table, capacity: int, loose: float) -> pa.Table:
     return table.append_column("settled", pa.array(settled)).append_column("bound", pa.array(np.full(len(bins), bound)))
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_GROUP, loose: float = LOOSE) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_GROUP, loose: float = LOOSE, rounds: int = ROUNDS) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; places in a sequence follow each other from 0.
 
-    A sequence id is made of the round, the group and the bin there.
+    A sequence id is made of the round, the group and the bin there. Every piece
+    is placed, however few the rounds.
     """
+    if not 1 <= rounds <= 127:
+        raise ValueError("a sequence id holds 1 to 127 rounds")
     ship(cut.sparkSession)
     todo = kept(cut, "pieces")
-    columns, left, settled, before = todo.columns, todo.count(), [], None
+    columns, left, settled, fewest, idle = todo.columns, todo.count(), [], None, 0
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in todo.schema)
     schema = f"{types}, deal long, bin long, offset long, settled boolean, bound long"
-    for turn in range(64):
+    for turn in range(rounds):
         groups = deals(left, per_group)
         run = lambda table: _packed_group(table, capacity, loose)
         dealt = todo.withColumn("deal", F.pmod(F.xxhash64("ticket", F.lit(turn)), F.lit(groups)))
@@ -144,11 +150,14 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_G
         named = done.withColumn("sequence_id", number)
         loosened = done.filter("not settled")
         now = loosened.agg(F.count(F.lit(1)).alias("pieces"), F.countDistinct("deal", "bin").alias("bins")).first()
-        last = groups == 1 or not now.pieces or (now.pieces, now.bins) == before
+        # Each round deals anew, so the bins of a group that is not full vary although nothing is gained.
+        idle = 0 if fewest is None or now.bins < fewest else idle + 1
+        last = groups == 1 or not now.pieces or idle == IDLE or turn == rounds - 1
         settled.append((named if last else named.filter("settled")).select(*columns, "sequence_id", "offset"))
         if last:
             break
-        before, left, todo = (now.pieces, now.bins), now.pieces, loosened.select(*columns)
+        fewest = now.bins if fewest is None else min(fewest, now.bins)
+        left, todo = now.pieces, loosened.select(*columns)
     result = settled[0]
     for more in settled[1:]:
         result = result.unionByName(more)

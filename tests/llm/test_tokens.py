@@ -86,6 +86,19 @@ def test_packing_holds_every_piece_without_gaps(spark, tmp_path, per_group):
     assert len(bins) <= packing.lower_bound(np.array([r.length for r in rows]), 4096) + 1
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 64])
+def test_packing_of_equal_lengths_loses_no_piece(spark, rounds):
+    cut = spark.range(3000).selectExpr("id", "0 as piece", "0L as start", "1300L as length", "id as ids_crc32", "id as ticket")
+    rows = packing.pack(cut, per_group=50, rounds=rounds).collect()
+    assert sorted(r.id for r in rows) == list(range(3000))
+    bins = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == bins.get(r.sequence_id, 0)
+        bins[r.sequence_id] = r.offset + r.length
+    assert max(bins.values()) <= 4096 and len(bins) <= 1000 + 60
+    assert len({r.sequence_id >> 56 for r in rows}) == 1 and max(r.sequence_id >> 56 for r in rows) < min(rounds, 30)
+
+
 def test_packing_of_an_empty_table(spark, tmp_path):
     assert packing.best_fit_packing(cases.empty(spark, tmp_path)).count() == 0
 
