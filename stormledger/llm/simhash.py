@@ -30,25 +30,35 @@ ROWS_PER_TASK = 16384
 FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
-    """64-bit SimHash of the word shingles of a text; 0 when it has no word.
+def shingle_hashes(text: str | None, words_per_shingle: int) -> np.ndarray:
+    """Hashes of the word shingles of a text in order; none when it has no word.
 
-    A to Z are folded, words are runs without ASCII white space, repeats count.
-    A bit is set when over half of the shingle hashes have it.
+    A to Z are folded, words are runs without ASCII white space. A text of fewer
+    words than a shingle is one shingle.
     """
     words = (text or "").encode("utf-8", "surrogatepass").translate(FOLD).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     hashed = xxhash.xxh64_intdigest
     if len(words) <= words_per_shingle:
-        return hashed(line, SEED)
+        return np.array([hashed(line, SEED)], np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(sizes + 1) - 1
     starts = (ends - sizes)[: len(words) - words_per_shingle + 1].tolist()
     ends = ends[words_per_shingle - 1 :].tolist()
-    hashes = np.array([hashed(line[s:e], SEED) for s, e in zip(starts, ends)], "<u8")
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return np.array([hashed(line[s:e], SEED) for s, e in zip(starts, ends)], np.uint64)
+
+
+def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
+    """64-bit SimHash of the word shingles of a text; 0 when it has no word.
+
+    Repeats count. A bit is set when over half of the shingle hashes have it.
+    """
+    hashes = shingle_hashes(text, words_per_shingle)
+    if len(hashes) < 2:
+        return int(hashes[0]) if len(hashes) else 0
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     majority = bits.sum(axis=0, dtype=np.int64) * 2 > len(hashes)
     return int(np.packbits(majority, bitorder="little").view("<u8")[0])
 
