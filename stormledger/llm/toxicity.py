@@ -10,8 +10,9 @@ classes share, so an expression that is rare in either is judged by how widely
 its pieces occur in both.
 
 All labelled training rows are counted, over whole texts: first words, where the
-text lies, then the n-grams of distinct words. Models are tables of a fixed
-number of hashed cells, whatever the corpus. A held-in part of the labelled rows
+text lies, then the n-grams of distinct words. Counts are exact:
+tables have a row per n-gram or context, found by its full 64-bit hash, and grow
+with the n-grams that the labelled words have. A held-in part of the labelled rows
 turns the evidence into a probability.
 """
 
@@ -29,8 +30,6 @@ from stormledger.llm.common import crc32_mod, kept, ship
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Cells of each table, as a power of two.
-TABLE_BITS = 20
 ALPHABET = 256
 WORD = re.compile(r"[^\W\d_]+")
 #: Documents whose words are looked up together, and words a worker remembers.
@@ -68,10 +67,6 @@ def word_grams(words: list[str], order: int = ORDER) -> tuple[np.ndarray, np.nda
     return grams, depth, word
 
 
-def _cell(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
-
-
 def distinct_grams(words: DataFrame) -> DataFrame:
     """(gram, top, context, suffix, suffix_context, toxic, plain) of every distinct n-gram of two characters or more.
 
@@ -121,17 +116,16 @@ def word_counts(labelled: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
 
 
-def tables(grams: DataFrame) -> np.ndarray:
-    """[table, cell]: the counts of all n-grams, folded into hashed cells.
+def tables(grams: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, [table, row]): the counts of all n-grams and contexts, by hash in ascending order.
 
     The larger class counts as if thinned to the size of the smaller one, or its
     richer counts alone would tell the classes apart. ``spare`` is what the
     discount takes from the grams of a context.
 
-    Summed in Spark; what comes to the driver is a row per cell, 2 ** TABLE_BITS
-    at most, whatever the corpus.
+    Summed in Spark; what comes to the driver is a row per distinct n-gram of up
+    to ``ORDER`` characters, never one per word or document.
     """
-    cell = lambda c: F.col(c).bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
     size = grams.filter("top").agg(*[F.sum(c).cast("double").alias(c) for c in ("toxic", "plain")]).first()
     least = min(size.toxic or 0, size.plain or 0)
     count = {c: F.col(c) * F.lit(least / size[c] if least else 1.0) for c in ("toxic", "plain")}
@@ -139,7 +133,7 @@ def tables(grams: DataFrame) -> np.ndarray:
 
     def entries(df: DataFrame, at: str, **values: Column) -> DataFrame:
         own = [F.sum(values.get(t, F.lit(0.0))).cast("double").alias(t) for t in TABLES]
-        return df.groupBy(cell(at).alias("cell")).agg(*own)
+        return df.groupBy(F.col(at).alias("key")).agg(*own)
 
     top = grams.filter("top")
     follows = grams.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.first("suffix_context").alias("context"))
@@ -150,13 +144,11 @@ def tables(grams: DataFrame) -> np.ndarray:
         entries(follows, "suffix", cont=F.col("n")),
         entries(follows, "context", cont_sum=F.col("n"), cont_kinds=F.lit(1)),
     ]
-    folded = rows[0].union(rows[1]).union(rows[2]).union(rows[3]).groupBy("cell").agg(*[F.sum(t).cast("float").alias(t) for t in TABLES])
-    out = np.zeros((len(TABLES), 1 << TABLE_BITS), np.float32)
-    table = folded.toArrow()
-    at = table.column("cell").to_numpy()
-    for k, name in enumerate(TABLES):
-        out[k, at] = table.column(name).to_numpy()
-    return out
+    summed = rows[0].union(rows[1]).union(rows[2]).union(rows[3]).groupBy("key").agg(*[F.sum(t).cast("float").alias(t) for t in TABLES])
+    table = summed.toArrow()
+    keys = table.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], np.array([table.column(t).to_numpy()[order] for t in TABLES], np.float32).reshape(len(TABLES), -1)
 
 
 def _design(evidence: np.ndarray) -> np.ndarray:
@@ -166,18 +158,27 @@ def _design(evidence: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Hashed tables of both classes, and the weights of the evidence.
+    """Tables of both classes with their keys, and the weights of the evidence.
 
     Weights that nothing calibrated ask for about a tenth of a unit per word.
     """
 
-    def __init__(self, tables: np.ndarray, weights: np.ndarray | None = None):
-        self.tables = dict(zip(TABLES, tables))
+    def __init__(self, tables: tuple[np.ndarray, np.ndarray], weights: np.ndarray | None = None):
+        self.keys, counts = tables
+        # One row more, of zeros, stands for all n-grams that were not counted.
+        self.tables = dict(zip(TABLES, np.pad(counts, ((0, 0), (0, 1)))))
         self.weights = np.array([1.0, 0.0, 2.0]) if weights is None else weights
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_design(evidence) @ self.weights, -30, 30)))
 
+    def rows(self, hashes: np.ndarray) -> np.ndarray:
+        """Row of each hash in the tables."""
+        at = np.searchsorted(self.keys, hashes)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == hashes[known]
+        return np.where(known, at, len(self.keys))
+
     def ratios(self, words: list[str]) -> np.ndarray:
         """Log-likelihood ratio of each word, toxic over ordinary."""
         grams, depth, word = word_grams(words)
@@ -186,8 +187,8 @@ class Model:
         shared = np.full(len(at), 1.0 / ALPHABET)
         result = np.zeros(len(at))
         for k in range(1, ORDER + 1):
-            gram = _cell(grams[k - 1, at])
-            context = _cell(grams[k - 2, at - 1]) if k > 1 else np.zeros(len(at), np.int64)
+            gram = self.rows(grams[k - 1, at])
+            context = self.rows(grams[k - 2, at - 1] if k > 1 else np.zeros(len(at), np.uint64))
             last = depth[at] == k
             if last.any():
                 own = np.flatnonzero(last)

@@ -104,6 +104,21 @@ def test_ratio_follows_the_formula_by_hand(spark):
     assert ratio > 0 and abs(ratio - first) < 1.0
 
 
+def test_tables_keep_every_gram_apart(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    random.seed(7)
+    rows = [("".join(random.choice(letters) for _ in range(40)), i % 2) for i in range(4000)]
+    grams = toxicity.distinct_grams(toxicity.word_counts(spark.createDataFrame(rows, "text string, toxic int"))).cache()
+    model = toxicity.Model(toxicity.tables(grams))
+    top = grams.filter("top").select("gram", "toxic", "plain").toPandas()
+    size = top[["toxic", "plain"]].sum()
+    at = model.rows(top["gram"].to_numpy().view(np.uint64))
+    for c in ("toxic", "plain"):
+        assert np.allclose(model.tables[f"top_{c}"][at], top[c] * (size.min() / size[c]))
+    assert model.tables["cont"][:-1].sum() == grams.count()
+    grams.unpersist()
+
+
 def test_toxicity_without_labels(spark, tmp_path):
     docs = cases.docs(spark, tmp_path)
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
