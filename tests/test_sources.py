@@ -292,6 +292,38 @@ def test_months_of_climate_do_not_touch_each_other(spark, base, tmp_path):
     assert cycle.curate_climate(spark, paths, february, everything=True) == ["202401", "202402"]
 
 
+def test_a_zone_of_a_later_file_gets_its_hours_of_all_stored_months(spark, base, tmp_path):
+    old, *_, steps = base
+    paths = layers.Paths(str(tmp_path / "bronze"), str(tmp_path / "prata"), str(tmp_path / "ouro"))
+    for name in ("peso_conjunto_celula", "dim_conjunto"):
+        spark.read.parquet(old.silver(name)).write.parquet(paths.silver(name))
+    known = [r[0] for r in spark.read.parquet(old.silver("clima_conjunto_hora")).select("conjunto").distinct().orderBy("conjunto").collect()]
+    whole = spark.read.parquet(old.silver("interrupcoes"))
+    assert len(known) > 1
+    whole.filter(F.col("conjunto") == known[0]).write.partitionBy("ano_arquivo").parquet(paths.silver("interrupcoes"))
+    cycle.curate_climate(spark, paths, steps)
+    hours = lambda: {r.conjunto: r["count"] for r in spark.read.parquet(paths.silver("clima_conjunto_hora")).groupBy("conjunto").count().collect()}
+    assert set(hours()) == {known[0]}
+    offered = spark.createDataFrame(
+        [("Interrupções 2025", "PARQUET", 0, "u0", "d1", 1, None)],
+        "name string, format string, pos int, url string, last_modified string, size long, hash string",
+    )
+
+    def fetch(ano, url):
+        spark.read.parquet(f"{old.bronze}/interrupcoes-2025.parquet").write.parquet(f"{paths.bronze}/interrupcoes-2025.parquet")
+        return True
+
+    done = cycle.monthly_cycle(spark, paths, offered, catalog.load_manifest(spark, paths.ouro), fetch)
+    now, had = hours(), whole.filter("ano_arquivo = 2025").select("conjunto").distinct().collect()
+    assert done["anos"] == [2025] and done["clima"] and {r[0] for r in had} & set(known) <= set(now)
+    assert len(now) > 1 and len(set(now.values())) == 1
+    assert cycle.renew_zone_hours(spark, paths) == []
+    # Weights with a cell that the stored grid was cut by.
+    weights = spark.read.parquet(old.silver("peso_conjunto_celula"))
+    weights.union(weights.limit(1).withColumn("celula", F.col("celula") + 100_000)).write.mode("overwrite").parquet(paths.silver("peso_conjunto_celula"))
+    assert cycle.months_without_cells(spark, paths) == done["clima"]
+
+
 def test_zones_of_all_states_need_a_box(spark, base):
     paths, _, _, mesh, _ = base
     with pytest.raises(ValueError, match="box"):
