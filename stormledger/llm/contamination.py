@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stormledger.llm.common import kept, text_of
 
 WINDOW = 8
-#: Literal tokens a window needs; windows of placeholders alone say nothing.
+#: Literal tokens a template needs; windows with fewer have to be found word for word.
 MIN_LITERALS = 4
 #: Share of an item's windows that must be found.
 COVERAGE = 0.5
@@ -67,9 +67,9 @@ def windows(codes: Column, size: int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, size, windows, item_at, hash, item_words, kinds) of all windows with enough literals.
+    """(item_id, size, item_at, item_words, weak, slots, hash, all_windows, strong_windows) of all windows.
 
-    An item shorter than a window is one window of its own length.
+    A weak window has too few literals for its template to say anything. An item shorter than a window is one window of its own length.
     """
     # A first word counts as a name or not by what stands before it in a document: both forms are known.
     inside = tokens(F.concat(F.lit("x "), text_of()))
@@ -83,13 +83,15 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     part = lambda name: F.slice(name, F.col("item_at") + 1, F.col("size"))
     t = t.withColumn("item_words", part("words")).withColumn("item_codes", part("codes"))
     literals = F.size(F.filter("item_codes", lambda c: ~c.isin(NUMBER, NAME, UNIT)))
-    t = t.filter(literals >= F.least(F.lit(MIN_LITERALS), F.col("size")))
+    t = t.withColumn("weak", literals < F.least(F.lit(MIN_LITERALS), F.col("size")))
     slots = F.filter(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get("item_codes", k).isin(NUMBER, NAME, UNIT))
     of_size = [
         F.when(F.col("size") == k, F.xxhash64(*[F.get("item_codes", F.lit(i)) for i in range(k)])) for k in range(1, window + 1)
     ]
-    t = t.select("item_id", "size", "item_at", "item_words", slots.alias("slots"), F.coalesce(*of_size).alias("hash")).distinct()
-    totals = t.groupBy("item_id").agg(F.countDistinct("item_at").alias("item_windows"))
+    t = t.select("item_id", "size", "item_at", "item_words", "weak", slots.alias("slots"), F.coalesce(*of_size).alias("hash")).distinct()
+    totals = t.groupBy("item_id").agg(
+        F.countDistinct("item_at").alias("all_windows"), F.countDistinct(F.when(~F.col("weak"), F.col("item_at"))).alias("strong_windows")
+    )
     return t.join(totals, "item_id")
 
 
@@ -98,7 +100,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col=
 
     (id, body, item_id, item_windows, found, coverage, slots, changed_slots);
     ``body`` is a hash of the text, so rows that repeat an id stay apart.
-    ``found`` counts the item's windows in occurrences whose slots are consistent.
+    ``found`` counts the item's windows in occurrences whose slots are consistent,
+    of all windows or of those that are not weak, whichever covers more.
     """
     known = kept(benchmark_windows(benchmark, window), "benchmark-windows")
     sizes = [r["size"] for r in known.select("size").distinct().collect()]  # at most ``window`` values
@@ -110,31 +113,41 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col=
     for size in sorted(sizes):
         opened = t.select("id", "body", "words", F.posexplode(windows(F.col("codes"), size)).alias("doc_at", "hash"))
         index = known.filter(F.col("size") == size)
-        hit = opened.join(F.broadcast(index) if small else index, "hash")
+        same = F.slice("words", F.col("doc_at") + 1, size) == F.col("item_words")
+        index = index.withColumnRenamed("hash", "item_hash")
+        on = (F.col("hash") == F.col("item_hash")) & (~F.col("weak") | same)
+        hit = opened.join(F.broadcast(index) if small else index, on)
         pairs = F.transform(
             "slots",
             lambda k: F.struct(F.get("item_words", k).alias("i"), F.get("words", F.col("doc_at") + k).alias("d")),
         )
         hit = hit.select(
-            "id", "body", "item_id", "item_windows", "item_at", (F.col("doc_at") - F.col("item_at")).alias("shift"), pairs.alias("pairs")
+            "id", "body", "item_id", "all_windows", "strong_windows", "weak", "item_at", (F.col("doc_at") - F.col("item_at")).alias("shift"), pairs.alias("pairs")
         )
         found = hit if found is None else found.unionByName(hit)
     if found is None:
         found = t.select(
-            "id", "body", F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"), F.lit(0).cast("long").alias("item_windows"),
-            F.lit(0).alias("item_at"), F.lit(0).alias("shift"), F.expr("array() as pairs").cast("array<struct<i:string,d:string>>").alias("pairs"),
+            "id", "body", F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id"), *[F.lit(0).cast("long").alias(f"{k}_windows") for k in ("all", "strong")],
+            F.lit(False).alias("weak"), F.lit(0).alias("item_at"), F.lit(0).alias("shift"), F.expr("array() as pairs").cast("array<struct<i:string,d:string>>").alias("pairs"),
         ).filter(F.lit(False))
-    # Both lists are bounded by the item: one entry per window or slot of it.
-    placed = found.groupBy("id", "body", "item_id", "item_windows", "shift").agg(
-        F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
+    # The list is bounded by the item: one entry per window of it.
+    item = ["id", "body", "item_id", "all_windows", "strong_windows"]
+    placed = found.groupBy(*item, "shift").agg(F.collect_set(F.struct("item_at", "weak", "pairs")).alias("hits"))
+    placed = placed.withColumn("pairs", F.array_distinct(F.flatten(F.transform("hits", lambda h: h["pairs"]))))
     values = F.array_distinct(F.transform("pairs", lambda p: p["i"]))
-    placed = placed.withColumn("consistent", F.size(values) == F.size("pairs")).filter("consistent")
+    placed = placed.filter(F.size(values) == F.size("pairs"))
+    at = lambda hits: F.transform(hits, lambda h: h["item_at"])
     changed = F.size(F.filter("pairs", lambda p: p["i"] != p["d"]))
-    best = placed.groupBy("id", "body", "item_id", "item_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("at")))).cast("long").alias("found"),
-        F.max(F.size("pairs")).alias("slots"),
-        F.max(changed).alias("changed_slots"),
+    union = lambda name: F.size(F.array_distinct(F.flatten(F.collect_set(name)))).cast("long")
+    best = placed.withColumn("at", at("hits")).withColumn("strong_at", at(F.filter("hits", lambda h: ~h["weak"]))).groupBy(*item).agg(
+        union("at").alias("all_found"), union("strong_at").alias("strong_found"),
+        F.max(F.size("pairs")).alias("slots"), F.max(changed).alias("changed_slots"),
+    )
+    # Templates alone may be covered better where the values of weak windows are new.
+    strong = F.col("strong_found") * F.col("all_windows") > F.col("all_found") * F.col("strong_windows")
+    best = best.select(
+        "id", "body", "item_id", F.when(strong, F.col("strong_windows")).otherwise(F.col("all_windows")).alias("item_windows"),
+        F.when(strong, F.col("strong_found")).otherwise(F.col("all_found")).alias("found"), "slots", "changed_slots",
     )
     return best.withColumn("coverage", F.col("found") / F.col("item_windows"))
 

@@ -144,6 +144,21 @@ def test_templates_are_caught_when_slots_are_consistent(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, _, want in CASES if not want]
 
 
+def test_items_of_few_literals_are_found_word_for_word(spark):
+    items = [(0, "What is 15% of 240?"), (1, "Compute 12 + 34 + 56"), (2, "7 11 13 17 19 23 29 31 37"), (3, "add 1 2 3 4 5 6 7 then divide the whole sum by 9 and show it")]
+    texts = [
+        (0, "Quiz: What is 15% of 240? Nobody knew.", {0}), (1, "Quiz: What is 16% of 250? Nobody knew.", set()),
+        (2, "please compute 12 + 34 + 56 now", {1}), (3, "please compute 12 + 34 + 57 now", set()),
+        (4, "primes 7 11 13 17 19 23 29 31 37 and so on", {2}), (5, "8 12 14 18 20 24 30 32 38", set()),
+        (6, "so add 8 9 1 2 4 5 7 then divide the whole sum by 3 and show it", {3}),
+    ]
+    found = contamination.contaminated(spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.id, set()).add(r.item_id)
+    assert got == {i: want for i, _, want in texts if want}
+
+
 def test_given_documents_equal_a_search_for_whole_passages(spark):
     sf = "/root/testdata/sf0.01"
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
