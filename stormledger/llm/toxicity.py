@@ -9,7 +9,7 @@ is discounted is spread over shorter contexts by continuation counts that both
 classes share, so an expression that is rare in either is judged by how widely
 its pieces occur in both.
 
-All labelled training rows are counted, over whole texts: first words, where the
+All labelled rows of folds 1 to 3 are counted, over whole texts; fold 4 only calibrates: first words, where the
 text lies, then the n-grams of distinct words. Counts are exact:
 tables have a row per n-gram or context, found by its full 64-bit hash, and grow
 with the n-grams that the labelled words have. A held-in part of the labelled rows
