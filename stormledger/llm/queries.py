@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stormledger.llm import contamination_queries, dedup_queries, language_queries, license_queries, packing_queries, run_queries, secret_queries, simhash_queries, token_queries, toxicity_queries, warc_queries
+from stormledger.llm import audit_queries, contamination_queries, dedup_queries, language_queries, lattice_queries, license_queries, packing_queries, run_queries, secret_queries, simhash_queries, token_queries, toxicity_queries, warc_queries
 
 QUERIES = {
     "op6_warc_revisits": warc_queries.op6_warc_revisits,
@@ -15,10 +15,13 @@ QUERIES = {
     "op9_decontamination": contamination_queries.op9_decontamination,
     "op2_simhash_near_dedup": simhash_queries.op2_simhash_near_dedup,
     "op10_exact_dedup": dedup_queries.op10_exact_dedup,
+    "op11_filter_audit": audit_queries.op11_filter_audit,
     "op12_periodic_runs": run_queries.op12_periodic_runs,
+    "op13_lattice_scores": lattice_queries.op13_lattice_scores,
 }
 CHECKS = {
     "op6_warc_revisits": warc_queries.OP6_SQL,
     "op10_exact_dedup": dedup_queries.OP10_SQL,
+    "op11_filter_audit": audit_queries.OP11_SQL,
     "op12_periodic_runs": run_queries.OP12_SQL,
 }
