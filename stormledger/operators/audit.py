@@ -66,12 +66,26 @@ def _verdict(n: Column, tolerated: Column) -> Column:
     )
 
 
+def rule_counts(rules: list[Rule]) -> dict[str, Column]:
+    """An aggregate per rule, for ``check`` or for the job that writes the rows."""
+    return {f"r{i}": F.count_if(condition) for i, (_, condition, _) in enumerate(rules)}
+
+
 def check(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """All rules in one pass over the rows: label, count, percentage, verdict."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(condition).alias(f"r{i}") for i, (_, condition, _) in enumerate(rules)],
-    )
+    measures = [c.alias(name) for name, c in rule_counts(rules).items()]
+    return told(df.agg(F.count(F.lit(1)).alias("total"), *measures), rules)
+
+
+def check_written(spark: SparkSession, counts: dict[str, int], rules: list[Rule]) -> DataFrame:
+    """The same report from counts that a write has gathered."""
+    names = ["linhas", *rule_counts(rules)]
+    row = spark.createDataFrame([tuple(counts[name] for name in names)], ", ".join(f"{name} long" for name in names))
+    return told(row.withColumnRenamed("linhas", "total"), rules)
+
+
+def told(counts: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The report from one row of counts."""
     entries = [
         F.struct(
             F.lit(label).alias("regra"),

@@ -18,10 +18,11 @@ WEEKLY_KEYS = ["conjunto", "ano", "dia_semana", "hora", "causa_climatica"]
 DURATION_KEYS = ["conjunto", "ano", "causa_climatica", "faixa_min"]
 
 
-def monthly_rows(fact: DataFrame) -> DataFrame:
-    """Per-row measures; all of them may be summed to any coarser key."""
+def monthly_rows(fact: DataFrame, *carried: str) -> DataFrame:
+    """Per-row measures; all of them may be summed to any coarser key. ``carried`` columns stay."""
     minutes, customers = F.col("duracao_min"), F.col("consumidores_afetados")
     return fact.select(
+        *carried,
         "conjunto",
         times.trunc("month", F.col("inicio")).alias("mes"),
         F.coalesce("causa", F.lit(UNKNOWN_CAUSE)).alias("causa"),
@@ -35,8 +36,9 @@ def monthly_rows(fact: DataFrame) -> DataFrame:
     )
 
 
-def weekly_rows(fact: DataFrame) -> DataFrame:
+def weekly_rows(fact: DataFrame, *carried: str) -> DataFrame:
     return fact.select(
+        *carried,
         "conjunto",
         "ano",
         times.weekday(F.col("inicio")).alias("dia_semana"),
@@ -46,9 +48,10 @@ def weekly_rows(fact: DataFrame) -> DataFrame:
     )
 
 
-def duration_rows(fact: DataFrame) -> DataFrame:
+def duration_rows(fact: DataFrame, *carried: str) -> DataFrame:
     """Ends before starts are left out; all other durations are banded."""
     return fact.filter(F.col("duracao_min") >= 0).select(
+        *carried,
         "conjunto",
         "ano",
         "causa_climatica",
@@ -78,3 +81,23 @@ CUBES = {
     "mart_hora_semana": (weekly_cube, weekly_rows, "ano"),
     "mart_duracao": (duration_cube, duration_rows, "ano"),
 }
+
+
+# name -> (measure rows, keys, sums): what cubes of parts of the fact are added up by.
+PARTIALS = {
+    "mart_mensal": (monthly_rows, MONTHLY_KEYS, MONTHLY_MEASURES),
+    "mart_hora_semana": (weekly_rows, WEEKLY_KEYS, ["interrupcoes"]),
+    "mart_duracao": (duration_rows, DURATION_KEYS, ["interrupcoes"]),
+}
+
+
+def partial_cube(fact: DataFrame, name: str, part: str) -> DataFrame:
+    """The cube of each part of the fact; a part's cube is that of its rows alone."""
+    rows, keys, sums = PARTIALS[name]
+    return rows(fact, part).groupBy(part, *keys).agg(*[F.sum(m).alias(m) for m in sums])
+
+
+def merged_cube(partials: DataFrame, name: str) -> DataFrame:
+    """The cube of the whole fact from the cubes of its parts, which may share keys."""
+    _, keys, sums = PARTIALS[name]
+    return partials.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in sums])

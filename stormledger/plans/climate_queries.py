@@ -7,8 +7,8 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from stormledger.config import GUST_BANDS, RAIN_BANDS, WEATHER_DETAILS
-from stormledger.functions import bands, times
-from stormledger.operators import audit, exposure, geo, grid
+from stormledger.functions import bands, geometry as g, times
+from stormledger.operators import audit, exposure, geo, grid, outline
 from stormledger.operators.filters import Filtro
 from stormledger.plans import cycle, fixtures as fx
 from stormledger.plans.fixtures import Data
@@ -376,6 +376,98 @@ def _(d):
     return rounded(rounded(out, "lon", "lat", digits=4), "area_graus")
 
 
+# Bricks as two half-cells each: a zone's sides are those without a half-cell of its own beyond,
+# its parts and holes are the connected half-cells inside and outside, found by walking over sides.
+_BRICKS = """tijolos as (
+         select c_custkey % 100 as i, c_custkey // 100 as j,
+                ((c_custkey // 100 // 10) * 10 + c_custkey % 100 // 10) * 2 + if(c_custkey * 7919 % 101 < 61, 0, 1) as z
+         from customer),
+       meias as (select z, 2 * i + j % 2 + d as x, j as y from tijolos, (values (0), (1)) as v(d)),
+       passos(dx, dy, lado) as (values (1, 0, 0.25::double), (-1, 0, 0.25), (0, 1, 0.125), (0, -1, 0.125)),
+       caixas as (select z, min(x) - 1 as x0, max(x) + 1 as x1, min(y) - 1 as y0, max(y) + 1 as y1 from meias group by z),
+       campo as (
+         select b.z, b.x, b.y, m.z is not null as dentro
+         from (select z, x0, x, unnest(range(y0, y1 + 1)) as y from (select *, unnest(range(x0, x1 + 1)) as x from caixas)) b
+         left join meias m on m.z = b.z and m.x = b.x and m.y = b.y),
+       anda as (
+         select z, dentro, x, y, x as rx, y as ry from campo
+         union
+         select a.z, a.dentro, c.x, c.y, a.rx, a.ry
+         from anda a, passos p, campo c where c.z = a.z and c.dentro = a.dentro and c.x = a.x + p.dx and c.y = a.y + p.dy),
+       partes as (
+         select z, count(distinct raiz) filter (dentro) as partes, count(distinct raiz) filter (not dentro) - 1 as furos
+         from (select z, dentro, x, y, min(rx * 100000 + ry) as raiz from anda group by all) group by z),
+       margem as (
+         select m.z, sum(p.lado) as perimetro from meias m, passos p
+         where not exists (select 1 from meias o where o.z = m.z and o.x = m.x + p.dx and o.y = m.y + p.dy) group by m.z)"""
+
+
+@query(
+    "zone_outline_a30_j3_g2",
+    f"""with recursive {_BRICKS}
+       select t.z::int as conjunto, round(count(*) * 0.0625, 6) as area_graus, round(any_value(perimetro), 6) as perimetro,
+              any_value(partes) as partes, any_value(furos) as furos, true as ancora_dentro
+       from tijolos t join margem m on m.z = t.z join partes p on p.z = t.z group by t.z""",
+)
+def _(d):
+    bricks = fx.bricks(d)
+    found = outline.measured(outline.zone_outlines(bricks, bricks.drop("conjunto")), "conjunto")
+    length = F.aggregate(
+        F.flatten(F.transform(F.flatten("partes"), g.ring_edges)),
+        F.lit(0.0),
+        lambda a, e: a + F.sqrt((e["xb"] - e["xa"]) * (e["xb"] - e["xa"]) + (e["yb"] - e["ya"]) * (e["yb"] - e["ya"])),
+    )
+    holds = lambda r: g.ring_holds(r["anel"], F.col("lon"), F.col("lat"))
+    inside = F.aggregate(g.part_rings(F.col("partes")), F.lit(False), lambda odd, r: odd != holds(r))
+    out = found.select(
+        "conjunto",
+        "area_graus",
+        length.alias("perimetro"),
+        F.size("partes").cast("long").alias("partes"),
+        F.aggregate("partes", F.lit(0), lambda a, p: a + F.size(p) - 1).cast("long").alias("furos"),
+        inside.alias("ancora_dentro"),
+    )
+    return rounded(out, "area_graus", "perimetro")
+
+
+@query(
+    "anchor_point_g3",
+    """select * from (with alturas as (
+         select k, anel // 2 as parte, unnest(list_transform(p, lambda q: q.y)) as y from aneis),
+       meios as (select k, parte, (min(y) + max(y)) / 2 as meio from alturas group by k, parte),
+       niveis as (
+         select a.k, a.parte, (max(y) filter (y <= meio) + min(y) filter (y > meio)) / 2 as nivel
+         from alturas a join meios m on m.k = a.k and m.parte = a.parte group by a.k, a.parte),
+       cruza as (
+         select n.k, n.parte, nivel, xa + (xb - xa) * (nivel - ya) / (yb - ya) as x
+         from arestas a join niveis n on n.k = a.k and n.parte = a.anel // 2 where (ya > nivel) <> (yb > nivel)),
+       trechos as (
+         select *, lead(x) over w as x2, row_number() over w as n from cruza window w as (partition by k, parte order by x))
+       select k as municipio_ibge, round(arg_max((x + x2) / 2, x2 - x), 4) as lon, round(arg_max(nivel, x2 - x), 4) as lat
+       from trechos where n % 2 = 1 group by k)""",
+)
+def _(d):
+    found = outline.measured(fx.meshes(d), "municipio_ibge").select("municipio_ibge", "lon", "lat")
+    return rounded(found, "lon", "lat", digits=4)
+
+
+@query(
+    "repaired_shape_s7",
+    """with medida as (
+         select c_custkey as k, 0.5::double + (c_custkey % 7) * 0.05::double as w, 0.4::double + (c_custkey % 5) * 0.07::double as h from customer),
+       cruz as (select k, w, h, w * 0.8 / 1.7 as x from medida)
+       select k as municipio_ibge, round(0.8 * h * x / 2 + 0.9 * h * (w - x) / 2, 6) as area_graus, 2::bigint as partes, 6::bigint as pontos
+       from cruz""",
+)
+def _(d):
+    found = outline.measured(outline.sound(fx.crossed(d), "municipio_ibge"), "municipio_ibge")
+    points = F.aggregate(F.flatten("partes"), F.lit(0), lambda a, r: a + F.size(r)).cast("long")
+    out = found.select(
+        "municipio_ibge", "area_graus", F.size("partes").cast("long").alias("partes"), points.alias("pontos")
+    )
+    return rounded(out, "area_graus")
+
+
 @query(
     "municipality_geometry_a30",
     """select t.k as municipio_ibge, round(mx / area, 4) as lon, round(my / area, 4) as lat, round(area, 6) as area_graus,

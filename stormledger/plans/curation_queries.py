@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from stormledger.config import FACT_RULES, REFERENCE_RULES
 from stormledger.functions import numbers, text
-from stormledger.operators import audit, cubes, dims, geo, normalise
-from stormledger.plans import fixtures as fx
+from stormledger.operators import audit, cubes, dims, geo, normalise, zones
+from stormledger.operators.filters import Filtro
+from stormledger.plans import fixtures as fx, partials
 from stormledger.plans.fixtures import Data
 from stormledger.plans.registry import query
 from stormledger.sources import catalog, files, layers, versions
@@ -633,3 +634,96 @@ def _(d):
         month, (F.col("o_orderkey") + 14000).alias("modificado")
     )
     return files.stale_outputs(inputs, outputs)
+
+
+# --- tables kept up to date -----------------------------------------------------------------
+
+
+def _republished(d: Data) -> layers.Paths:
+    """A fact whose year 1995 came again with even zones only, after its cubes were made."""
+    root = files.scratch(d.spark, "base")
+    paths = layers.Paths(f"{root}/bronze", f"{root}/prata", f"{root}/ouro")
+    rows = fx.stored_fact(d).withColumn(partials.YEAR, F.col("ano"))
+    files.write_fact(rows, paths.silver(layers.FACT))
+    partials.renew(d.spark, paths, details=fx.WEATHER_BRANDS)
+    files.write_fact(rows.filter("ano = 1995 and conjunto % 2 = 0"), paths.silver(layers.FACT))
+    if partials.renew(d.spark, paths, details=fx.WEATHER_BRANDS) != [1995]:
+        raise RuntimeError("another year than 1995 was made anew")
+    return paths
+
+
+# What is left of an event table after that.
+_LEFT = "(ano <> 1995 or conjunto % 2 = 0)"
+
+
+@query(
+    "cubes_by_source_year_s14",
+    f"""select conjunto, mes, causa, cast(programada as varchar) as programada, causa_climatica, distribuidora,
+               count(*) as interrupcoes, sum(atingidos)::bigint as consumidores,
+               round(sum(duracao_min), 4) as duracao_total_min, round(sum(atingidos * duracao_min), 4) as consumidor_minuto
+        from linhas where {_LEFT} group by conjunto, mes, causa, programada, causa_climatica, distribuidora""",
+)
+def _(d):
+    cube = partials.cube(d.spark, _republished(d), "mart_mensal")
+    rounded = [F.round(c, 4).alias(c) for c in ("duracao_total_min", "consumidor_minuto")]
+    return cube.select(
+        "conjunto", "mes", "causa", F.col("programada").cast("string").alias("programada"), "causa_climatica", "distribuidora",
+        "interrupcoes", "consumidores", *rounded,
+    )
+
+
+@query(
+    "hour_and_duration_cubes_by_source_year_s14",
+    f"""select 'hora' as cubo, conjunto, ano, dia_semana::double as a, hora::double as b, causa_climatica, count(*) as interrupcoes
+        from linhas where {_LEFT} group by all
+        union all
+        select 'duracao', conjunto, ano, if(piso > 0, piso, duracao_min - duracao_min % 15), null, causa_climatica, count(*)
+        from linhas where {_LEFT} and duracao_min >= 0 group by all""",
+)
+def _(d):
+    paths = _republished(d)
+    week, length = (partials.cube(d.spark, paths, name) for name in ("mart_hora_semana", "mart_duracao"))
+    same = lambda name, a, b: [F.lit(name).alias("cubo"), "conjunto", "ano", a.cast("double").alias("a"), b.cast("double").alias("b"), "causa_climatica", "interrupcoes"]
+    return week.select(*same("hora", F.col("dia_semana"), F.col("hora"))).unionByName(length.select(*same("duracao", F.col("faixa_min"), F.lit(None))))
+
+
+@query(
+    "zones_by_period_bitmaps_a16_a24",
+    f"""select * from (with r as (select * from linhas where {_LEFT})
+        select 'mes' as grao, mes as periodo, count(distinct conjunto) as conjuntos from r group by mes
+        union all select 'trimestre', time_bucket(interval 3 months, mes), count(distinct conjunto) from r group by 2
+        union all select 'ano', date_trunc('year', mes)::timestamp, count(distinct conjunto) from r group by 2)""",
+)
+def _(d):
+    maps = partials.zone_bitmaps(d.spark, _republished(d))
+    grains = {"mes": "month", "trimestre": "quarter", "ano": "year"}
+    return normalise.union_years([zones.zones_by_period(maps, grain).select(F.lit(name).alias("grao"), "periodo", "conjuntos") for name, grain in grains.items()])
+
+
+@query(
+    "zones_under_a_filter_bitmaps_a14",
+    f"""select count(distinct i.conjunto) as conjuntos from linhas i join dim_conjunto dc on dc.conjunto = i.conjunto
+        where {_LEFT.replace("conjunto", "i.conjunto")} and mes >= timestamp '1994-01-01' and mes < timestamp '1997-01-01'
+          and not programada and causa_climatica and dc.uf in ('NATION_4', 'NATION_7')""",
+)
+def _(d):
+    f = Filtro(1994, 1996, ufs=("NATION_4", "NATION_7"), programada="nao", so_climaticas=True)
+    return zones.zones_in(partials.zone_bitmaps(d.spark, _republished(d)), f, fx.lookups(d))
+
+
+@query(
+    "counted_while_written_s25_p12",
+    """select regra, n, tolerado from (
+         select 'chuva ou rajada nula' as regra, count(*) filter (chuva_c is null or rajada_c is null) as n, cast(0 as bigint) as tolerado from clima
+         union all select 'chuva negativa', count(*) filter (chuva_c < 0), 0 from clima
+         union all select 'rajada não positiva', count(*) filter (rajada_c <= 0), 0 from clima
+         union all select 'chuva acima de 100 mm/h', count(*) filter (chuva_c > 10000), 0 from clima
+         union all select 'rajada acima de 150 km/h', count(*) filter (rajada_c > 15000), 0 from clima
+         union all select 'linhas', count(*), null from clima)""",
+)
+def _(d):
+    rules = audit.climate_rules()
+    path = files.scratch(d.spark, "clima_conjunto_hora")
+    seen = files.write_sorted(fx.climate_hours(d), path, ["conjunto", "instante_utc"], measures=audit.rule_counts(rules))
+    total = d.spark.createDataFrame([("linhas", seen["linhas"], None)], "regra string, n long, tolerado long")
+    return audit.check_written(d.spark, seen, rules).select("regra", "n", "tolerado").unionByName(total)

@@ -345,6 +345,35 @@ def shape_bridge(d: Data) -> DataFrame:
     )
 
 
+def bricks(d: Data) -> DataFrame:
+    """A wall of one brick per customer, every other row shifted, cut into zones with gaps.
+
+    Corners meet the middle of sides. Of ten by ten bricks one zone has about
+    three in five and another the rest, so zones have holes, islands and parts
+    that meet in a point. Half of the rings run the other way.
+    """
+    k = F.col("c_custkey")
+    i, j = k % 100, F.floor(k / 100)
+    x, y = F.lit(-60.0) + (2 * i + j % 2) * F.lit(0.125), F.lit(-30.0) + j * F.lit(0.25)
+    zone = ((F.floor(j / 10) * 10 + F.floor(i / 10)) * 2 + F.when(k * 7919 % 101 < 61, 0).otherwise(1)).cast("int")
+    at = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    ring = F.array(at(0.0, 0.0), at(0.25, 0.0), at(0.25, 0.25), at(0.0, 0.25))
+    ring = F.when(k % 2 == 1, F.reverse(ring)).otherwise(ring)
+    return d("customer").select(k, x.alias("x"), y.alias("y"), zone.alias("conjunto")).select("conjunto", k.cast("int").alias("municipio_ibge"), F.array(F.array(ring)).alias("partes"))
+
+
+def crossed(d: Data) -> DataFrame:
+    """One ring per customer that crosses itself, with a spike that it runs forth and back."""
+    k = F.col("c_custkey")
+    w, h = F.lit(0.5) + (k % 7) * F.lit(0.05), F.lit(0.4) + (k % 5) * F.lit(0.07)
+    x, y = F.lit(-51.0) + (k * 37 % 1000) / F.lit(100.0), F.lit(-22.5) + (k * 61 % 800) / F.lit(100.0)
+    at = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    W, H = F.col("w"), F.col("h")
+    ring = F.array(at(F.lit(0.0), F.lit(0.0)), at(W, H), at(W + 1.0, H), at(W, H), at(W, H * 0.1), at(F.lit(0.0), H * 0.8))
+    rows = d("customer").select(k.cast("int").alias("municipio_ibge"), x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h"))
+    return rows.select("municipio_ibge", F.array(F.array(ring)).alias("partes"))
+
+
 def grid_steps(d: Data) -> DataFrame:
     """Embeddings as hourly 8 x 8 fields: rain in metres, gust in metres per second."""
     v = F.col("embedding")

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from stormledger import contract
 
@@ -85,28 +85,35 @@ def geojson(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame
 # --- writers --------------------------------------------------------------------
 
 
-def _writer(df: DataFrame, mode: str):
-    return (
-        df.write.mode(mode)
-        .option("compression", "zstd")
-        .option("parquet.compression.codec.zstd.level", ZSTD_LEVEL)
-    )
+def _write(df: DataFrame, path: str, mode: str, measures: dict[str, Column] | None, periods: str | None = None) -> dict[str, int]:
+    """Write and return ``linhas``, the number of rows, with any further aggregates over them.
+
+    They are gathered by the job that writes, after all shuffles, so the table is
+    not read again to be counted.
+    """
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    counted = df.observe(seen, F.count(F.lit(1)).alias("linhas"), *[c.alias(name) for name, c in (measures or {}).items()])
+    writer = counted.write.mode(mode).option("compression", "zstd").option("parquet.compression.codec.zstd.level", ZSTD_LEVEL)
+    if periods:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(periods)
+    writer.parquet(path)
+    return seen.get
 
 
-def write_sorted(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite") -> None:
+def write_sorted(df: DataFrame, path: str, keys: list[str], mode: str = "overwrite", measures: dict[str, Column] | None = None) -> dict[str, int]:
     """Range-partition by the sort keys, sort inside, write.
 
     Every key takes part in the ranges, so one zone with a third of the rows is
     cut along its second key instead of landing in one file.
     """
-    _writer(df.repartitionByRange(*keys).sortWithinPartitions(*keys), mode).parquet(path)
+    return _write(df.repartitionByRange(*keys).sortWithinPartitions(*keys), path, mode, measures)
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    _writer(df, mode).parquet(path)
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", measures: dict[str, Column] | None = None) -> dict[str, int]:
+    return _write(df, path, mode, measures)
 
 
-def write_fact(df: DataFrame, path: str, year: str = "ano_arquivo") -> None:
+def write_fact(df: DataFrame, path: str, year: str = "ano_arquivo", measures: dict[str, Column] | None = None) -> dict[str, int]:
     """Stored fact, one folder per source year, sorted for compression.
 
     Ranges over (year, zone, start): a task meets one year or two, so there are
@@ -115,16 +122,14 @@ def write_fact(df: DataFrame, path: str, year: str = "ano_arquivo") -> None:
     replaced. The folder key is the year of the source file, so the year the
     data claims stays a column of its own.
     """
-    keys = [year, "conjunto", "inicio_s"]
-    spread = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    _writer(spread, "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+    return write_periods(df, path, year, ["conjunto", "inicio_s"], measures)
 
 
-def write_periods(df: DataFrame, path: str, period: str, keys: list[str]) -> None:
+def write_periods(df: DataFrame, path: str, period: str, keys: list[str], measures: dict[str, Column] | None = None) -> dict[str, int]:
     """Replace the periods present in ``df``, sorted by the keys inside each."""
     order = [period, *keys]
     spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    _writer(spread, "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(period).parquet(path)
+    return _write(spread, path, "overwrite", measures, period)
 
 
 def file_metrics(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
@@ -143,6 +148,13 @@ def file_metrics(spark: SparkSession, path: str, by: list[str] | None = None) ->
     )
 
 
+def stored_bytes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes and files of a written table, from the listing of its folder alone."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    total = listed.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("arquivos")).first()
+    return {"bytes": total.bytes, "arquivos": total.arquivos}
+
+
 def stale_outputs(inputs: DataFrame, outputs: DataFrame, key: str = "competencia") -> DataFrame:
     """Periods whose output is missing or older than its input.
 

@@ -100,10 +100,16 @@ def brute_profile(clima, counts, window, quiet, cut):
     return out
 
 
-def test_lag_profile_against_brute_force(spark):
+@pytest.mark.parametrize("block", [5, 13, 100, 24 * 60])
+def test_lag_profile_against_brute_force(spark, block):
     clima, counts, rows, by_hour = world(spark)
+    # A block shorter than the window, hours that are missing, and counts where there is no weather.
+    gone = {(z, t) for z, t, _, _ in rows if (z * 7 + t.hour * 5 + t.day) % 19 == 0}
+    rows = [r for r in rows if r[:2] not in gone]
+    clima = spark.createDataFrame(rows, clima.schema)
+    by_hour = {k: n for k, n in by_hour.items() if k not in gone}
     expected = brute_profile(rows, by_hour, 12, 6, 500)
-    got = exposure.lag_profile(clima, counts, threshold=5, window=12).collect()
+    got = exposure.lag_profile(clima, counts, threshold=5, window=12, block_hours=block).collect()
     assert [r.hora_rel for r in got] == sorted(expected) and len(got) == 25
     for r in got:
         hours, n, usual = expected[r.hora_rel]
@@ -113,6 +119,16 @@ def test_lag_profile_against_brute_force(spark):
         assert r.lift == pytest.approx(n / usual)
 
 
+def test_lag_profile_moves_each_side_once(spark):
+    clima, counts, _, _ = world(spark)
+    plan = exposure.lag_profile(clima, counts)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    physical = exposure.lag_profile(clima, counts)._jdf.queryExecution().sparkPlan().toString()
+    full = exposure.lag_profile(clima, counts)._jdf.queryExecution().executedPlan().toString()
+    # The dealing, the sums by offset and slot, and two small ones of the result.
+    assert "SortMergeJoin" not in physical and full.count("Exchange hashpartitioning") <= 4
+
+
 def test_both_onset_forms_agree_across_block_borders(spark):
     clima, _, rows, _ = world(spark)
     one = {tuple(r) for r in exposure.storm_onsets(clima).collect()}

@@ -93,7 +93,7 @@ def test_top_n_is_cut_by_the_shown_measure(rows, lookups):
         orders[by] = [r.conjunto for r in top]
     assert orders["interrupcoes"] != orders["consumidores"]
     for query in (panel.zone_ranking, panel.distributor_ranking, panel.zone_map):
-        with pytest.raises(ValueError, match="medida desconhecida"):
+        with pytest.raises(ValueError, match="ranking measure"):
             query(live, Filtro(), lookups, "conjunto; drop table x")
 
 
