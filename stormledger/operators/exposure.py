@@ -97,14 +97,14 @@ def gust_risk(base: DataFrame, scheme=GUST_BANDS) -> DataFrame:
     return _curve(base, bands.gust_band(F.col("rajada"), scheme), scheme)
 
 
-def heavy_cents(threshold: float) -> int:
-    """The least whole hundredth at or above a threshold as it is written: 1.1 mm is 110, not a hair more."""
-    return int((Decimal(str(threshold)) * CLIMATE_SCALE).to_integral_value(ROUND_CEILING))
-
-
 def heavy_hours(clima: DataFrame, threshold: float = STORM_MM) -> DataFrame:
-    """Rainy hours by the stored integer, so the condition reaches the file scan."""
-    return clima.filter(F.col("chuva_c") >= F.lit(heavy_cents(threshold))).select(*_KEY)
+    """Rainy hours by the stored integer, so the condition reaches the file scan.
+
+    The bound is the least whole hundredth at or above the threshold as it is
+    written: 1.1 mm is 110, not a hair more.
+    """
+    least = (Decimal(str(threshold)) * CLIMATE_SCALE).to_integral_value(ROUND_CEILING)
+    return clima.filter(F.col("chuva_c") >= F.lit(int(least))).select(*_KEY)
 
 
 def storm_onsets(
@@ -159,91 +159,53 @@ def expected_rate(base: DataFrame) -> DataFrame:
     )
 
 
-#: Hours of a zone that one row of blocked hours covers, without its borders.
-LAG_BLOCK_H = 24 * 60
-
-
-def _blocked_hours(clima: DataFrame, counts: DataFrame, least: int, reach: int, block_hours: int) -> DataFrame:
-    """Hours of a zone and block of time as one sorted array, with ``reach`` hours of its neighbours.
-
-    Weather and counts are dealt once, by zone and block, and meet there; an
-    hour near a border is dealt to both blocks, so no block asks another. ``slot``
-    is the hour's place in the year and the day: month x 24 + local hour.
-    """
-    at = F.col("instante_utc")
-    slot = (F.month(at) * F.lit(24) + times.local_hour(at)).cast("int")
-    weather = clima.select(
-        "conjunto", times.hour_number(at).alias("h"), slot.alias("slot"),
-        (F.col("chuva_c") >= F.lit(least)).alias("heavy"), F.lit(None).cast("long").alias("n"),
-    )
-    events = counts.select(
-        "conjunto", times.hour_number(at).alias("h"), F.lit(None).cast("int").alias("slot"),
-        F.lit(None).cast("boolean").alias("heavy"), F.col("interrupcoes").alias("n"),
-    )
-    block = lambda h: F.floor(h / F.lit(block_hours)).cast("long")
-    dealt = (
-        weather.unionByName(events)
-        .withColumn("bloco", F.explode(F.sequence(block(F.col("h") - reach), block(F.col("h") + reach))))
-        .repartition("conjunto", "bloco")
-    )
-    # Partitioned by zone and block already: neither step below moves a row.
-    hours = dealt.groupBy("conjunto", "bloco", "h").agg(
-        F.max("slot").alias("slot"), F.max("heavy").alias("heavy"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")
-    )
-    one = F.struct("h", "slot", "n", F.coalesce("heavy", F.lit(False)).alias("heavy"))
-    return hours.filter("slot is not null").groupBy("conjunto", "bloco").agg(F.array_sort(F.collect_list(one)).alias("xs"))
-
-
 def lag_profile(
     clima: DataFrame,
     counts: DataFrame,
     threshold: float = STORM_MM,
     window: int = STORM_WINDOW_H,
     onsets_only: bool = True,
-    quiet_hours: int = STORM_QUIET_H,
-    block_hours: int = LAG_BLOCK_H,
 ) -> DataFrame:
     """Interruptions by hour around storm onsets against the usual rate.
 
-    A cross-correlation of onsets with counts, a block of a zone's hours at a
-    time: an onset is a place in the block's array, and the ``2 * window + 1``
-    hours around it a slice. Slices are summed by offset and slot where they are
-    cut; no row per onset and offset is shuffled, and what is left are at most
-    offsets x 12 x 24 sums per task. Hours that are missing are in no slice.
+    Each onset marks the ``2 * window + 1`` hours around it with their offset.
+    One pass over the base then sums every hour once for the usual rate (offset
+    null) and once per offset it carries. All joins share the key (zone, hour),
+    so the base moves once, and what is left are at most offsets x 12 x 24 sums.
     """
-    reach = max(window, quiet_hours)
-    blocks = _blocked_hours(clima, counts, heavy_cents(threshold), reach, block_hours)
-    own = lambda x: (x["h"] >= F.col("bloco") * block_hours) & (x["h"] < (F.col("bloco") + 1) * block_hours)
-    placed = F.transform("xs", lambda x, i: F.struct(i.alias("i"), x["h"].alias("h"), x["heavy"].alias("heavy")))
-    heavy = F.filter(placed, lambda x: x["heavy"])
-    if onsets_only:
-        # The border holds every heavy hour that could come too close before.
-        earlier = F.concat(F.array(F.lit(None).cast("struct<i:int,h:bigint,heavy:boolean>")), heavy)
-        first = F.zip_with(heavy, F.slice(earlier, F.lit(1), F.size(heavy)), lambda x, y: F.when(y.isNull() | (x["h"] - y["h"] > quiet_hours), x))
-        heavy = F.filter(first, lambda x: x.isNotNull())
-    entry = lambda offset, x: F.struct(offset.cast("long").alias("hora_rel"), x["slot"].alias("slot"), x["n"].alias("n"))
-
-    def around(e: Column) -> Column:
-        start = F.greatest(e["i"] - window, F.lit(0))
-        near = F.filter(F.slice("xs", start + 1, e["i"] + window + 1 - start), lambda x: F.abs(x["h"] - e["h"]) <= window)
-        return F.transform(near, lambda x: entry(x["h"] - e["h"], x))
-
-    itself = F.transform(F.filter("xs", own), lambda x: entry(F.lit(None), x))
-    marks = F.concat(itself, F.flatten(F.transform(F.filter("onsets", own), around)))
+    events = storm_onsets(clima, threshold) if onsets_only else heavy_hours(clima, threshold)
+    offsets = (
+        events.select(
+            "conjunto",
+            F.explode(F.sequence(F.lit(-window), F.lit(window))).alias("hora_rel"),
+            "instante_utc",
+        )
+        .select(
+            "conjunto",
+            times.add_hours(F.col("instante_utc"), F.col("hora_rel")).alias("instante_utc"),
+            "hora_rel",
+        )
+        .groupBy(*_KEY)
+        .agg(F.collect_list("hora_rel").alias("horas_rel"))
+    )
+    itself = F.array(F.lit(None).cast("int"))
+    marks = F.concat(itself, F.coalesce("horas_rel", F.array().cast("array<int>")))
     sums = (
-        blocks.withColumn("onsets", heavy)
-        .select(F.explode(marks).alias("m"))
-        .groupBy("m.hora_rel", "m.slot")
-        .agg(F.count(F.lit(1)).alias("horas"), F.sum("m.n").alias("n"))
+        exposure_base(clima, counts)
+        .join(offsets, _KEY, "left")
+        .select("mes", "hora_local", "interrupcoes", F.explode(marks).alias("hora_rel"))
+        .groupBy("hora_rel", "mes", "hora_local")
+        .agg(F.count(F.lit(1)).alias("horas"), F.sum("interrupcoes").alias("n"))
     )
     whole = F.col("hora_rel").isNull()
-    usual_rate = F.max(F.when(whole, F.col("n") / F.col("horas"))).over(Window.partitionBy("slot"))
+    same_hour = Window.partitionBy("mes", "hora_local")
+    usual_rate = F.max(F.when(whole, F.col("n") / F.col("horas"))).over(same_hour)
     usual = F.col("taxa_normal") * F.col("horas")
     hours, n = F.sum("horas"), F.sum("n")
     return (
         sums.withColumn("taxa_normal", usual_rate)
         .filter(~whole)
-        .groupBy(F.col("hora_rel").cast("int").alias("hora_rel"))
+        .groupBy("hora_rel")
         .agg(
             hours.alias("conjunto_horas"),
             n.alias("interrupcoes"),
