@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,7 +15,7 @@ from stormledger.operators.filters import Filtro
 from stormledger.plans import cycle, fixtures as fx
 from stormledger.plans.fixtures import Data
 from stormledger.plans.registry import query
-from stormledger.sources import files, layers
+from stormledger.sources import arrays, files, layers
 
 YEARS = Filtro(2024, 2024)
 
@@ -504,6 +506,20 @@ def _(d):
     )
 
 
+@query(
+    "grid_files_s8",
+    """select celula, instante_utc, chuva_c, rajada_c from grade
+       where instante_utc >= timestamp '2024-01-02 00:00:00' - interval 1 hour and instante_utc <= timestamp '2024-01-09 23:00:00'""",
+)
+def _(d):
+    # Written as monthly zips of array files, then only a range of steps is read.
+    path = files.scratch(d.spark, "grade-mensal")
+    arrays.register(d.spark)
+    fx.grid_steps(d).write.format(arrays.FORMAT).mode("append").save(path)
+    steps = arrays.read(d.spark, path, datetime(2024, 1, 2), datetime(2024, 1, 10))
+    return grid.grid_rows(steps).select("celula", "instante_utc", F.col("chuva_c").cast("int"), F.col("rajada_c").cast("int"))
+
+
 @query(
     "merged_variables_s8",
     """select timestamp '2024-01-01' + to_hours(cast(vec_id as integer)) as valid_time,
