@@ -73,6 +73,22 @@ def test_overlap_against_point_sampling(spark):
         assert sum(a for (m, _), a in seen.items() if m == k) == pytest.approx(size)
 
 
+def test_rows_follow_crossed_and_covered_cells(spark):
+    """A shape far above the box's bottom makes no row below itself, one that covers the box fills it."""
+    small = frame(spark, {1: [[shifted([(0.0, 0.0), (0.01, 0.0), (0.01, 0.01)], -44.99, -15.99)]]})
+    assert geo.cell_overlap(small).count() == 1
+    box = (-19.0, -45.0, -20.0, -44.0)  # 5 x 5 cells
+    big = frame(spark, {1: [[[(-60.0, -30.0), (-30.0, -30.0), (-30.0, -10.0), (-60.0, -10.0)]]], 2: [[[(-60.0, -30.0), (-30.0, -30.0), (-30.0, -19.5), (-60.0, -19.5)]]]})
+    rows = geo.cell_overlap(big, box=box).collect()
+    full = [r for r in rows if r.municipio_ibge == 1]
+    assert len(full) == 25 and all(r.area == pytest.approx(0.0625) for r in full)
+    half = {(r.lat, r.lon): r.area for r in rows if r.municipio_ibge == 2}
+    assert len(half) == 15 and half[(-19.5, -44.5)] == pytest.approx(0.0625 / 2) and half[(-20.0, -44.0)] == pytest.approx(0.0625)
+    # A frame: its inner cells have no area, though the sweep passes them.
+    ring = [[[(-46.0, -21.0), (-43.0, -21.0), (-43.0, -18.0), (-46.0, -18.0)], [(-45.6, -20.6), (-43.4, -20.6), (-43.4, -18.4), (-45.6, -18.4)]]]
+    assert geo.cell_overlap(frame(spark, {3: ring}), box=box).count() == 0
+
+
 def test_weights_sum_to_one_and_leave_border_cells_out(spark):
     meshes = frame(spark, {
         1: [[shifted(SQUARE, -45.125, -19.125)]],  # exactly 16 cells
