@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
+import os
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -131,6 +131,21 @@ def _(d):
     return base(d)
 
 
+@query(
+    "bucketed_base_s11_j11",
+    """select conjunto, instante_utc, chuva, rajada, interrupcoes,
+              cast(hora_local as integer) as hora_local, cast(mes as integer) as mes from base""",
+)
+def _(d):
+    # Zone-hours and counts lie dealt alike, so the join moves neither.
+    tables, buckets = {}, max(8, int(d.spark.conf.get("spark.sql.shuffle.partitions")))
+    for name, rows in (("horas", fx.climate_hours(d)), ("contagens", counts(d))):
+        path = files.scratch(d.spark, f"baldes_{name}")
+        tables[name] = os.path.basename(path).replace("-", "_")
+        files.write_bucketed(rows, tables[name], path, ["conjunto", "instante_utc"], buckets)
+    return exposure.exposure_base(d.spark.table(tables["horas"]), d.spark.table(tables["contagens"]))
+
+
 @query(
     "grid_completeness_a27",
     """select count(*) as linhas, count(distinct instante_utc) as horas, count(distinct conjunto) as conjuntos,

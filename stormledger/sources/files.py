@@ -132,6 +132,22 @@ def write_periods(df: DataFrame, path: str, period: str, keys: list[str], measur
     return _write(spread, path, "overwrite", measures, period)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: list[str], buckets: int, measures: dict[str, Column] | None = None) -> dict[str, int]:
+    """A table of the catalogue, dealt and sorted by its keys where it is stored.
+
+    A join or an aggregate by the keys reads it as it lies; only the other side
+    moves, into as many parts. Tables with equal buckets do not move at all.
+    Buckets should be no fewer than the session's shuffle partitions, or Spark
+    may rather deal both sides anew.
+    """
+    seen = Observation(f"write-{uuid.uuid4().hex}")
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    counted = dealt.observe(seen, F.count(F.lit(1)).alias("linhas"), *[c.alias(name) for name, c in (measures or {}).items()])
+    writer = counted.write.mode("overwrite").format("parquet").option("path", path).option("compression", "zstd")
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return seen.get
+
+
 def file_metrics(spark: SparkSession, path: str, by: list[str] | None = None) -> DataFrame:
     """Rows, bytes, files and bytes per row of a written table."""
     keys = by or []

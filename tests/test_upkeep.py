@@ -180,3 +180,27 @@ def test_a_cycle_without_new_zones_reads_no_hour_and_no_grid_row(spark, base, tm
     files.write_table(weights.union(more), paths.silver("peso_conjunto_celula") + "2")
     files.write_table(spark.read.parquet(paths.silver("peso_conjunto_celula") + "2"), paths.silver("peso_conjunto_celula"))
     assert cycle.months_without_cells(spark, paths) == ["202401"]
+
+
+def test_bucketed_sides_do_not_move(spark, tmp_path):
+    hours = spark.range(4000).select((F.col("id") % 40).cast("int").alias("conjunto"), F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("instante_utc"), F.lit(5).alias("chuva_c"), F.lit(6).alias("rajada_c"))
+    events = hours.filter("instante_utc < '1970-02-01'").select("conjunto", "instante_utc", F.lit(2).cast("long").alias("interrupcoes"))
+    keys = ["conjunto", "instante_utc"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert files.write_bucketed(hours, "horas_em_baldes", str(tmp_path / "h"), keys, 8)["linhas"] == 4000
+        files.write_bucketed(events, "contagens_em_baldes", str(tmp_path / "e"), keys, 8)
+        stored = spark.table("horas_em_baldes")
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        from stormledger.operators import exposure
+
+        both = exposure.exposure_base(stored, spark.table("contagens_em_baldes"))
+        assert "SortMergeJoin" in plan(both) and "Exchange" not in plan(both)
+        one = exposure.exposure_base(stored, events)
+        assert plan(one).count("Exchange hashpartitioning") == 1
+        plain = exposure.exposure_base(hours, events)
+        assert sorted(both.collect()) == sorted(one.collect()) == sorted(plain.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for table in ("horas_em_baldes", "contagens_em_baldes"):
+            spark.sql(f"drop table if exists {table}")
