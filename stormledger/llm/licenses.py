@@ -7,10 +7,13 @@ the template (its prefix), so only those are joined, by hash; the length filter
 and the positional filter then leave few candidates, which are verified on the
 words themselves.
 
-Blocks are windows of words with half overlap, wide enough that any run as long
-as the longest template lies whole in one. Each document keeps, in one pass over
-its text, the places of all words that any template has; everything after works
-on that small table.
+Blocks are windows of words with half overlap, wide enough that any run a
+quarter longer than the longest template lies whole in one. Within a block a
+template is held if a window of its own length and a quarter more has the share
+of its words, and the words that tell it from similar ones. Phrases are found
+word for word. Each document keeps, in one pass over its text, the places of all
+words that any template has; these are opened once and grouped by block, so a
+dense text is as much work as its words.
 """
 
 from __future__ import annotations
@@ -46,6 +49,8 @@ TEMPLATES = {
     "unlicense": "this is free and unencumbered software released into the public domain",
     "rights-reserved": "all rights reserved",
 }
+#: Words that tell a notice from one that differs in little else; without them it is not held.
+REQUIRED = {"cc-by-nc-4.0": "nc", "cc-by-sa-4.0": "sa", "lgpl": "lesser", "mit-notice": "mit", "gpl-3.0": "gnu", "apache-2.0": "apache", "mpl-2.0": "mozilla", "rights-reserved": "all rights reserved"}
 THRESHOLD = 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words: ASCII without digits and lower-case letters.
@@ -90,64 +95,76 @@ def word_order(placed: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def prefixes(order: DataFrame, templates: DataFrame) -> DataFrame:
-    """Rows (word, rarer, label, exact, phrase, ordered, before, needed) for each word of each template's prefix.
+    """Rows (word, rarer, label, required, span, ordered, needed, before) for each word of each template's prefix.
 
     A template of n words that needs a of them keeps its n - a + 1 rarest.
     """
-    spread = templates.select("label", "exact", "phrase", "share", F.explode(F.array_distinct("phrase")).alias("word"))
+    spread = templates.select("label", "required", "span", "share", F.explode(F.array_distinct("phrase")).alias("word"))
     ordered = (
         spread.join(order, "word")
-        .groupBy("label", "exact", "phrase", "share")
+        .groupBy("label", "required", "span", "share")
         .agg(F.array_sort(F.collect_list(F.struct("n", "word", "rarer"))).alias("o"))
     )
     needed = F.ceil(F.size("o") * F.col("share") - F.lit(1e-9)).cast("int")
     ordered = ordered.withColumn("needed", needed).withColumn("ordered", F.col("o.word"))
     first = F.slice("o", F.lit(1), F.size("o") - F.col("needed") + 1)
-    opened = ordered.select("label", "exact", "phrase", "ordered", "needed", F.posexplode(first).alias("p", "w"))
+    opened = ordered.select("label", "required", "span", "ordered", "needed", F.posexplode(first).alias("p", "w"))
     return opened.select(
-        "w.word", "w.rarer", "label", "exact", "phrase", "ordered", "needed", F.slice("ordered", F.lit(1), F.col("p")).alias("before")
+        "w.word", "w.rarer", "label", "required", "span", "ordered", "needed", F.slice("ordered", F.lit(1), F.col("p")).alias("before")
     )
 
 
-def candidates(placed: DataFrame, prefix: DataFrame, stride: int) -> DataFrame:
-    """Blocks that reach a template's threshold: (id, body, block, label, exact, containment, phrase, near).
+def phrase_places(opened: DataFrame, phrases: Mapping[str, str]) -> DataFrame:
+    """(id, body, label, start) of all places where a phrase's words follow each other.
 
-    A block meets a template at the first of its words that the block has, so
-    no pair comes twice by different words.
+    Each place of a word votes for the start it would belong to; a start with a
+    vote of every word of the phrase is a place.
     """
-    opened = placed.select("id", "body", "hits", F.explode("hits").alias("h")).select("id", "body", "hits", "h.pos", "h.word")
-    # The prefixes are bounded by the templates, a few dozen rows.
-    met = opened.join(F.broadcast(prefix), "word")
+    rows = [(label, k, w, (1 << len(words.split())) - 1) for words, label in phrases.items() for k, w in enumerate(words.split())]
+    votes = opened.sparkSession.createDataFrame(rows, "label string, k int, word string, whole long")
+    voted = opened.join(F.broadcast(votes), "word").withColumn("start", F.col("pos") - F.col("k"))
+    mark = F.bit_or(F.expr("shiftleft(1L, k)"))
+    return voted.groupBy("id", "body", "label", "start").agg(mark.alias("has"), F.first("whole").alias("whole")).filter("has = whole")
+
+
+def blocks(opened: DataFrame, stride: int) -> DataFrame:
+    """(id, body, block, near): the template words of each window of twice the stride, at most one for each of its places."""
     own = F.floor(F.col("pos") / F.lit(stride)).cast("int")
-    met = met.withColumn("block", F.explode(F.array_distinct(F.array(own, F.greatest(own - 1, F.lit(0))))))
-    begin = F.col("block") * stride
-    near = F.filter("hits", lambda h: (h["pos"] >= begin) & (h["pos"] < begin + 2 * stride))
-    met = met.withColumn("near", near).withColumn("have", F.array_distinct("near.word"))
+    both = opened.withColumn("block", F.explode(F.array_distinct(F.array(own, F.greatest(own - 1, F.lit(0))))))
+    return both.groupBy("id", "body", "block").agg(F.array_sort(F.collect_set(F.struct("pos", "word"))).alias("near"))
+
+
+def candidates(windows: DataFrame, prefix: DataFrame) -> DataFrame:
+    """Blocks that may hold a template: (id, body, block, near, label, ordered, needed, required, span).
+
+    A block meets a template at the first of its prefix that the block has, so no
+    pair comes twice by different words.
+    """
+    have = windows.withColumn("have", F.array_distinct("near.word"))
+    # The prefixes are bounded by the templates, a few dozen rows.
+    met = have.select("*", F.explode("have").alias("word")).join(F.broadcast(prefix), "word")
     length = F.size("have") >= F.col("needed")
     rank = F.size(F.array_intersect("have", "rarer"))
     position = F.size("have") - rank >= F.col("needed")
     first = F.size(F.array_intersect("have", "before")) == 0
     overlap = F.size(F.array_intersect("have", "ordered"))
-    met = met.filter(length & position & first).withColumn("overlap", overlap).filter(F.col("overlap") >= F.col("needed"))
-    # The word may stand in a block several times.
-    keep = ["id", "body", "block", "label", "exact"]
-    return met.groupBy(*keep).agg(
-        F.max(F.col("overlap") / F.size("ordered")).alias("containment"),
-        F.first("phrase").alias("phrase"),
-        F.first("near").alias("near"),
-    ).withColumn("begin", F.col("block") * stride)
+    return met.filter(length & position & first).filter(overlap >= F.col("needed"))
 
 
-def consecutive(near: Column, phrase: Column, begin: Column, stride: int) -> Column:
-    """Starts in the first half of a block where the phrase's words follow each other."""
-    starts = F.filter(near, lambda h: (h["word"] == F.get(phrase, F.lit(0))) & (h["pos"] < begin + stride))
-    pairs = F.transform(near, lambda h: F.struct(h["pos"].alias("pos"), h["word"].alias("word")))
+def containment() -> Column:
+    """Best share of a template's words in one of its own windows within the block; null where none has its required words.
+
+    A window begins at a place of the block and is as long as the template and a
+    quarter more, so words that are scattered over a longer text do not count.
+    """
 
-    def whole(start: Column) -> Column:
-        steps = F.transform(phrase, lambda w, k: F.struct((start["pos"] + k).alias("pos"), w.alias("word")))
-        return F.size(F.array_except(steps, pairs)) == 0
+    def share(start: Column) -> Column:
+        inside = F.filter("near", lambda x: (x["pos"] >= start["pos"]) & (x["pos"] < start["pos"] + F.col("span")))
+        words = F.transform(inside, lambda x: x["word"])
+        common = F.size(F.array_intersect(words, F.col("ordered")))
+        return F.when(F.size(F.array_except(F.col("required"), words)) == 0, common / F.size("ordered"))
 
-    return F.transform(F.filter(starts, whole), lambda h: h["pos"])
+    return F.array_max(F.transform("near", share))
 
 
 def scan(
@@ -165,23 +182,31 @@ def scan(
     texts have no words. Rows that repeat an id are judged by their own text.
     """
     spark = docs.sparkSession
-    rows = [(label, True, words.split(), 1.0) for words, label in phrases.items()]
-    rows += [(label, False, words.split(), threshold) for label, words in templates.items()]
-    vocabulary = sorted({w for _, _, words, _ in rows for w in words})
-    stride = max(len(words) for _, _, words, _ in rows)
-    table = spark.createDataFrame(rows, "label string, exact boolean, phrase array<string>, share double")
+    rows = [(label, words.split(), REQUIRED.get(label, "").split(), threshold) for label, words in templates.items()]
+    vocabulary = sorted({w for words in [*phrases, *templates.values()] for w in words.split()})
+    wide = lambda words: -(-5 * len(words) // 4)
+    stride = max(wide(words) for _, words, _, _ in rows)
+    rows = [(*row, wide(row[1])) for row in rows]
+    table = spark.createDataFrame(rows, "label string, phrase array<string>, required array<string>, share double, span int")
     placed = kept(places(docs, vocabulary, id_col, text_col), "license-words")
-    found = candidates(placed, prefixes(word_order(placed, vocabulary), table), stride)
-    at = F.when(F.col("exact"), consecutive(F.col("near"), F.col("phrase"), F.col("begin"), stride))
-    found = found.withColumn("at", at).filter(~F.col("exact") | (F.size("at") > 0))
-    base = lambda c: F.when(F.col("exact"), c)
+    prefix = kept(prefixes(word_order(placed, vocabulary), table), "license-prefixes")
+    # Words of the templates, whatever the corpus: a text without any of these holds nothing.
+    rare = sorted({r.word for r in prefix.select("word").distinct().collect()} | {w for words in phrases for w in words.split()})
+    some = placed.filter(F.exists("hits", lambda h: h["word"].isin(rare)))
+    opened = some.select("id", "body", F.explode("hits").alias("h")).select("id", "body", "h.pos", "h.word")
+    base = phrase_places(opened, phrases).select("id", "body", "label", "start", F.lit(1.0).alias("held"))
+    found = candidates(blocks(opened, stride), prefix).withColumn("held", containment())
+    found = found.filter((F.col("held") * F.size("ordered") >= F.col("needed") - 1e-9))
+    found = base.unionByName(found.select("id", "body", "label", F.lit(None).cast("int").alias("start"), "held"))
+    is_base = F.col("start").isNotNull()
+    labels = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     per_doc = found.groupBy("id", "body").agg(
-        F.coalesce(F.sum(F.size("at")).cast("long"), F.lit(0).cast("long")).alias("n_base"),
-        F.min(F.array_min("at")).cast("long").alias("first_word"),
-        F.max(F.array_max("at")).cast("long").alias("last_word"),
-        F.array_join(F.array_sort(F.collect_set(base(F.col("label")))), ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
-        F.max("containment").alias("score"),
+        F.count("start").alias("n_base"),
+        F.min("start").cast("long").alias("first_word"),
+        F.max("start").cast("long").alias("last_word"),
+        labels(F.when(is_base, F.col("label"))).alias("base_labels"),
+        labels(F.col("label")).alias("labels"),
+        F.max("held").alias("score"),
     )
     per_doc = per_doc.withColumnsRenamed({"id": "found_id", "body": "found_body"})
     same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("body") == F.col("found_body"))

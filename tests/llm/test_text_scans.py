@@ -19,15 +19,17 @@ def base_places(text):
     return sorted((i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split())
 
 
-def window_labels(text, threshold=0.8):
-    w, stride = words(text), max(len(t.split()) for t in [*licenses.PHRASES, *licenses.TEMPLATES.values()])
-    held = set()
-    for start in range(0, max(len(w), 1), stride):
-        block = set(w[start : start + 2 * stride])
-        for label, template in licenses.TEMPLATES.items():
-            t = set(template.split())
-            if len(block & t) >= threshold * len(t) - 1e-9:
+def held_labels(text, threshold=0.8):
+    """Every window of every template's own length, anywhere in the text."""
+    w, held = words(text), set()
+    for label, template in licenses.TEMPLATES.items():
+        t = template.split()
+        span, need = -(-5 * len(t) // 4), set(licenses.REQUIRED.get(label, "").split())
+        for start in range(len(w)):
+            window = set(w[start : start + span])
+            if need <= window and len(window & set(t)) >= threshold * len(set(t)) - 1e-9:
                 held.add(label)
+                break
     return held
 
 
@@ -52,7 +54,7 @@ def test_license_scan_equals_brute_force(spark, tmp_path):
     want = []
     for r in rows:
         places = base_places(r[1])
-        labels = window_labels(r[1]) | {label for _, label in places}
+        labels = held_labels(r[1]) | {label for _, label in places}
         first, last = (places[0][0], places[-1][0]) if places else (None, None)
         base = ",".join(sorted({label for _, label in places}))
         want.append((r[0], len(words(r[1])), len(places), first, last, base, ",".join(sorted(labels))))
@@ -62,6 +64,27 @@ def test_license_scan_equals_brute_force(spark, tmp_path):
     assert all((r.score > 0) == (r.labels != "") and r.score <= 1 for r in scores)
 
 
+def labelled(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [x.labels for x in licenses.scan(docs).orderBy("id").collect()]
+
+
+def test_similar_notices_are_told_apart(spark):
+    grant = licenses.TEMPLATES["gpl-or-later"]
+    texts = [
+        "This text is licensed under CC BY 4.0.", "released under the Apache license", grant, grant.replace("general", "lesser general"),
+        "All seats were reserved early; the right of way and civil rights were discussed", "All rights reserved.", "released under the MIT license",
+    ]
+    assert labelled(spark, texts) == ["cc-by", "apache", "gpl,gpl-or-later", "gpl-or-later,lgpl", "", "rights-reserved", "mit,mit-notice"]
+
+
+def test_dense_text_is_as_much_work_as_its_words(spark):
+    dense = "mit license " * 100_000
+    docs = spark.createDataFrame([(1, dense), (1, dense), (2, "x " * 50_000 + "apache license")], "doc_id long, text string")
+    rows = sorted(tuple(r) for r in licenses.scan(docs).select("id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect())
+    assert rows == [(1, 200_000, 100_000, 0, 199_998, "mit")] * 2 + [(2, 50_002, 1, 50_000, 50_000, "apache")]
+
+
 def test_license_scan_is_native_and_takes_empty_tables(spark, tmp_path):
     assert licenses.scan(cases.empty(spark, tmp_path)).count() == 0
     plan = licenses.scan(cases.docs(spark, tmp_path))._jdf.queryExecution().executedPlan().toString()
