@@ -16,6 +16,7 @@ forms pairs.
 from __future__ import annotations
 
 import bisect
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -64,11 +65,20 @@ def strong(text: str) -> list[tuple[str, int, int]]:
 
 
 def weak(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of the weak kinds outside strong spans."""
+    """(kind, start, end) of the weak kinds outside strong spans.
+
+    Parts of a credential are different characters: a word inside an address, or
+    inside the name and value of an identifier, is no candidate of its own.
+    """
     found = [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)] if "://" in text else []
     found += [("identifier", *m.span()) for m in IDENTIFIER.finditer(text)] if "=" in text or ":" in text else []
+    named = sorted((s, e) for _, s, e in found)
+    starts = [s for s, _ in named]
+    reached = list(itertools.accumulate((e for _, e in named), max))
     for m in OPAQUE.finditer(text):
-        word = m[0]
+        word, before = m[0], bisect.bisect_left(starts, m.end())
+        if before and reached[before - 1] > m.start():
+            continue
         mixed = any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
         if mixed and entropy(word) >= MIN_ENTROPY:
             found.append(("opaque", *m.span()))

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import zlib
 
@@ -130,6 +131,37 @@ def test_secret_spans(spark, tmp_path):
     assert kinds[206] == ["endpoint", "hex"]
 
 
+def slow_reported(text, reach=200):
+    """Weak candidates with a complementary part in reach and scope, over all pairs."""
+    strong = secrets.strong(text)
+    found = strong + secrets.weak(text, strong)
+    cuts = [m.end() for m in secrets.SCOPE_END.finditer(text)]
+    scope = lambda s: sum(c <= s for c in cuts)
+    out = []
+    for kind, s, e in found:
+        partners = [(a, b) for k, a, b in found if secrets.PART[k] in secrets.COMPLEMENT.get(kind, ()) and scope(a) == scope(s) and a <= e + reach and b >= s - reach]
+        if kind not in secrets.COMPLEMENT or partners:
+            out.append((s, kind, e))
+    return sorted(out)
+
+
+def test_links_equal_all_pairs(spark):
+    r = random.Random(12)
+    pieces = ["client_id: robot7", "Zx9Qw8Er7Ty6Ui5Op4As3Df2", "https://api.host/x", "password=abcdef99", "AKIA" + "B2" * 9, "deadbeef" * 4, "user-name = someone", "plain words here", "\n\n", "far " * 30, "far " * 55]
+    texts = ["  ".join(r.choice(pieces) for _ in range(r.randrange(1, 14))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.id: sorted((s.start, s.kind, s.end) for s in x.reported) for x in secrets.secrets(docs).collect()}
+    assert got == {i: slow_reported(t) for i, t in enumerate(texts)}
+    assert any(k == "opaque" for spans in got.values() for _, k, _ in spans)
+
+
+def test_a_part_is_no_part_of_itself(spark):
+    texts = ["see https://example.com/blog/2019/03/how-we-built-x", "client_id = aZ81kQ0xPqL7vBn3Wm5T", "client_id = aZ81kQ0xPqL7vBn3Wm5T and Zx9Qw8Er7Ty6Ui5Op4As3Df2"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.id: [s.kind for s in x.reported] for x in secrets.secrets(docs).collect()}
+    assert got == {0: [], 1: [], 2: ["identifier", "opaque"]}
+
+
 def test_secrets_of_an_empty_table(spark, tmp_path):
     assert secrets.secrets(cases.empty(spark, tmp_path)).count() == 0
 
