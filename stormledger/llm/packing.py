@@ -3,11 +3,11 @@
 Documents become pieces of at most the capacity. Pieces are dealt into groups of
 bounded size and each group is packed best fit, longest first. Dual-feasible
 functions turn the lengths into lower bounds on the number of bins; a group that
-meets its bound, and wastes nothing that others could use, is settled. Groups
-with a gap give up their emptiest bins; these documents meet those of other
-groups in fewer groups, and best fit runs again, until one group holds all that
-is left, the given-up bins have not become fewer for two rounds, or the rounds are
-used up; the last round settles all its bins.
+meets its bound is settled but for its emptiest bin, which others may fill.
+Groups with a gap give up all bins with room to spare; these documents meet those
+of other groups in fewer groups, and best fit runs again, until one group holds
+all that is left, the given-up bins have not become fewer for two rounds, or the
+rounds are used up; the last round settles all its bins.
 
 Only (identifier, place, length, checksum) rows move, never texts or ids.
 """
@@ -113,26 +113,31 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def _packed_group(table: pa.Table, capacity: int, loose: float) -> pa.Table:
-    """Pack one group; ``settled`` is false for the bins it gives up."""
+    """Pack one group; ``settled`` is false for the bins it gives up.
+
+    A group with as many bins as its bound is certified: no packing of its pieces
+    has fewer, so it gives up its emptiest bin at most, for others to fill.
+    """
     table = table.sort_by([("length", "descending"), ("ticket", "ascending")])
     lengths = table.column("length").to_numpy()
     bins, offsets, free = best_fit(lengths, capacity)
     bound = lower_bound(lengths, capacity)
-    # Certified, and too full for one place more to be worth moving: stays as it is.
-    gap = len(free) > bound or int(free.sum()) > 0
-    given = free > capacity * loose
-    if gap and len(free):
+    given = (free > capacity * loose) & (len(free) > bound)
+    if len(free) and free.max() > 0:
         given[int(free.argmax())] = True
-    settled = ~given[bins] if gap else np.ones(len(bins), bool)
     table = table.append_column("bin", pa.array(bins)).append_column("offset", pa.array(offsets))
-    return table.append_column("settled", pa.array(settled)).append_column("bound", pa.array(np.full(len(bins), bound)))
+    table = table.append_column("settled", pa.array(~given[bins]))
+    for name, n in (("bins", len(free)), ("bound", bound)):
+        table = table.append_column(name, pa.array(np.full(len(bins), n)))
+    return table
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_GROUP, loose: float = LOOSE, rounds: int = ROUNDS) -> DataFrame:
     """The pieces with ``sequence_id`` and ``offset``; places in a sequence follow each other from 0.
 
     A sequence id is made of the round, the group and the bin there. Every piece
-    is placed, however few the rounds.
+    is placed, however few the rounds. ``bins`` and ``bound`` are those of the
+    group that settled the piece: where they are equal, its packing is certified.
     """
     if not 1 <= rounds <= 127:
         raise ValueError("a sequence id holds 1 to 127 rounds")
@@ -140,7 +145,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_G
     todo = kept(cut, "pieces")
     columns, left, settled, fewest, idle = todo.columns, todo.count(), [], None, 0
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in todo.schema)
-    schema = f"{types}, deal long, bin long, offset long, settled boolean, bound long"
+    schema = f"{types}, deal long, bin long, offset long, settled boolean, bins long, bound long"
     for turn in range(rounds):
         groups = deals(left, per_group)
         run = lambda table: _packed_group(table, capacity, loose)
@@ -153,7 +158,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_G
         # Each round deals anew, so the bins of a group that is not full vary although nothing is gained.
         idle = 0 if fewest is None or now.bins < fewest else idle + 1
         last = groups == 1 or not now.pieces or idle == IDLE or turn == rounds - 1
-        settled.append((named if last else named.filter("settled")).select(*columns, "sequence_id", "offset"))
+        settled.append((named if last else named.filter("settled")).select(*columns, "sequence_id", "offset", "bins", "bound"))
         if last:
             break
         fewest = now.bins if fewest is None else min(fewest, now.bins)
@@ -165,7 +170,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, per_group: int = PIECES_PER_G
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, id_col="doc_id", text_col="text") -> DataFrame:
-    """Whole documents packed: (id, piece, start, length, ids_crc32, sequence_id, offset).
+    """Whole documents packed: (id, piece, start, length, ids_crc32, sequence_id, offset, bins, bound).
 
     An empty table gives no row; repeated rows are packed as often as they come.
     """
