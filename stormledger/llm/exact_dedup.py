@@ -197,5 +197,6 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if repeated.isEmpty():
         return plain
     # Rows that repeat id and text: one of them comes back.
-    again = those(repeated, "left_semi").withColumn(f"{text_col}_sha256", digest)
-    return plain.unionByName(again.dropDuplicates([id_col, f"{text_col}_sha256"]).select(*docs.columns))
+    own = f"digest_of_{max(docs.columns, key=len)}"  # longer than any name of the documents
+    again = those(repeated, "left_semi").withColumn(own, digest)
+    return plain.unionByName(again.dropDuplicates([id_col, own]).select(*docs.columns))

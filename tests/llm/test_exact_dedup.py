@@ -68,3 +68,11 @@ def test_stage_keeps_one_of_each(spark, tmp_path):
     assert kept.columns == docs.columns
     texts = Counter(body(r.text) for r in kept.collect())
     assert set(texts.values()) == {1} and set(texts) == {body(r[1]) for r in cases.rows()}
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    rows = [(1, "a b", "mine", "x"), (1, "a  b", "mine", "x"), (2, "a b", "mine", "x"), (3, "c", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_sha256 string, digest string")
+    stay = dedup.without_copies(docs)
+    assert stay.dtypes == docs.dtypes
+    assert sorted((r.doc_id, r.text_sha256) for r in stay.collect()) == [(1, "mine"), (3, None)]
