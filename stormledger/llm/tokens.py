@@ -19,7 +19,7 @@ import numpy as np
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 #: Texts whose new pieces are encoded together.
 TOGETHER = 128
 #: Letters that the quick cut knows: ASCII, and Latin letters that stay one letter when folded or composed.
