@@ -136,3 +136,18 @@ def test_geojson_and_wkt(spark, tmp_path):
     zones = {r.conjunto: r for r in geo.zone_geometry(bridge, mesh).collect()}
     assert zones[2].wkt == rows[31].wkt and zones[1].area_graus == pytest.approx(1.745)
     assert zones[1].wkt.count("((") == 3
+
+
+def test_shapes_are_never_broadcast(spark):
+    """Size estimates count a shape as one value, so small keys may carry gigabytes."""
+    meshes = frame(spark, {1: [[SQUARE]], 2: [[CONCAVE, HOLE], [FAR]]})
+    bridge = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "conjunto int, municipio_ibge int")
+    box, results = (3.0, -1.0, -1.0, 4.0), {}
+    results["cities"] = geo.municipality_geometry(meshes)
+    results["zones"] = geo.zone_geometry(bridge, meshes)
+    results["weights"] = geo.zone_weights(bridge, meshes, box=box)
+    for name, df in results.items():
+        rows = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) > 1 and "Broadcast" not in plan, name
+    assert sum(r.peso for r in results["weights"].collect() if r.conjunto == 1) == pytest.approx(1.0)
