@@ -1,6 +1,8 @@
 """Near copies by the Jaccard similarity of their word shingles, checked exactly.
 
-Texts meet where all minima of a band of min-hashes agree; with 24 bands of five
+Texts meet where their SimHash fingerprints lie within a few bits, and where all
+minima of a band of min-hashes agree, since fingerprints alone miss most pairs of
+lower similarity. With 24 bands of five
 a pair of similarity 0.8 meets with a probability over 0.9999. Whether two texts
 that met are similar enough is decided on their whole sets of shingles. Members
 of a bucket are compared with leaders, few and then more, which unites a large
@@ -22,9 +24,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from stormledger.llm.common import kept, ship, text_of
 from stormledger.llm.graph import components
-from stormledger.llm.simhash import SEED, shingle_hashes
+from stormledger.llm.simhash import SEED, links, majority_bits, shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
+#: Bits in which fingerprints that meet may differ.
+RADIUS = 4
 #: Bands of min-hashes and min-hashes of a band.
 BANDS, PER_BAND = 24, 5
 #: Turns in which a bucket is compared with one leader only, at least; pairs per member that may be left after them.
@@ -45,20 +49,25 @@ def bands(grams: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, words: int = WORDS, id_col="doc_id", text_col="text") -> DataFrame:
-    """(id, body, node, size, bands) of every row: hashes of its text and of its set of shingles, the set's size."""
+    """(id, body, node, size, print, bands) of every row: hashes of its text and of its set of shingles, the set's size, the SimHash."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), words)) for t in batch.column(2)]
+            sets, prints = [], []
+            for text in batch.column(2):
+                hashes = shingle_hashes(text.as_py(), words)
+                prints.append(majority_bits(hashes))
+                sets.append(np.unique(hashes))
+            prints = np.array(prints, np.uint64).view(np.int64)
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64)
             made = [bands(s).view(np.int64) if len(s) else None for s in sets]
-            columns = [pa.array(node.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()), pa.array(made, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["id", "body", "node", "size", "bands"])
+            columns = [pa.array(node.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints), pa.array(made, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["id", "body", "node", "size", "print", "bands"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_of(text_col)).alias("body"), text_col)
-    return rows.mapInArrow(run, f"id {kind}, body long, node long, size long, bands array<long>")
+    return rows.mapInArrow(run, f"id {kind}, body long, node long, size long, print long, bands array<long>")
 
 
 def _sets(texts: DataFrame, words: int) -> DataFrame:
@@ -72,6 +81,13 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "node long, grams binary")
 
 
+def _within(nodes: DataFrame, radius: int) -> DataFrame:
+    """Edges (a, b) that connect all nodes (node, print) whose fingerprints lie within the radius; equal ones meet their least node."""
+    first = kept(nodes.groupBy("print").agg(F.min("node").alias("node")), "prints")
+    equal = nodes.join(first.withColumnRenamed("node", "a"), "print").filter("a < node").select("a", F.col("node").alias("b"))
+    return kept(links(first, radius).filter("a != b").unionByName(equal).distinct(), "simhash-links")
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity."""
 
@@ -120,23 +136,30 @@ def _leaders(members: DataFrame, turn: int, each: int) -> DataFrame:
 
 
 def labels(rows: DataFrame, docs: DataFrame, words: int, similarity: float, text_col: str, leaders: int = LEADERS, spare: float = SPARE) -> DataFrame:
-    """(node, component) of the nodes of ``rows`` that share a bucket with another.
+    """(node, component) of the nodes of ``rows`` that share a bucket with another or have a fingerprint near another's.
 
-    Members of a bucket are compared with its leaders, turn after turn, each time
+    Links of fingerprints come first, so that a bucket starts with the components
+    they make. Members of a bucket are compared with its leaders, turn after turn, each time
     only with those of other components. From ``leaders`` turns on the number of
     leaders doubles, as long as a turn saves more comparisons than it costs. When
     it does not, or when the pairs of two components that are left are few
     (``spare`` for each member), all of these are compared.
     """
-    nodes = kept(rows.groupBy("node").agg(F.min("body").alias("body"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
+    nodes = kept(rows.groupBy("node").agg(F.min("body").alias("body"), F.first("size").alias("size"), F.min("print").alias("print"), F.first("bands").alias("bands")), "nodes")
+    close = _within(nodes.select("node", "print"), RADIUS)
     opened = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     shared = opened.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     members = kept(opened.join(shared, "bucket").withColumn("component", F.col("node")), "members")
-    label = kept(members.select("node", "component").distinct(), "labels")
+    linked = close.select(F.explode(F.array("a", "b")).alias("node"))
+    label = kept(members.select("node").union(linked).distinct().withColumn("component", F.col("node")), "labels")
     wanted = nodes.join(label, "node", "left_semi").select("node", "body")
     bodies = docs.select(F.xxhash64(text_of(text_col)).alias("body"), F.col(text_col).alias("text"))
     sets = kept(_sets(bodies.join(wanted, "body").select("node", "text"), words).dropDuplicates(["node"]), "shingles")
     turn, last, many, before = 0, False, members.count(), None
+    edges = kept(_similar(close, sets, similarity), "similar")
+    if not edges.isEmpty():
+        label = _united(label, edges)
+        members = kept(_open(members.drop("component").join(label, "node")), "open-buckets")
     while not members.isEmpty():
         each = 1 << max(0, turn - leaders + 1)
         if turn >= leaders:

@@ -55,7 +55,11 @@ def fingerprint(text: str | None, words_per_shingle: int = 4) -> int:
 
     Repeats count. A bit is set when over half of the shingle hashes have it.
     """
-    hashes = shingle_hashes(text, words_per_shingle)
+    return majority_bits(shingle_hashes(text, words_per_shingle))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have; 0 of none."""
     if len(hashes) < 2:
         return int(hashes[0]) if len(hashes) else 0
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

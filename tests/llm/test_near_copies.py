@@ -90,3 +90,19 @@ def test_clashing_names(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, node int, own int, body int")
     kept = corpus_pipeline.near_copies(spark, docs, "")
     assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == [rows[0], rows[2]]
+
+
+def test_fingerprints_link_texts_that_share_no_bucket(spark, monkeypatch):
+    """SimHash is a step of its own: it finds near copies that no band brings together, and each link is checked."""
+    from stormledger.llm import near_copies, simhash
+
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "more"])), (3, " ".join(f"x{i}" for i in range(3000))), (4, " ".join([*words, "more"] * 2))]
+    prints = [simhash.fingerprint(text, 5) for _, text in rows]
+    assert (prints[0] ^ prints[1]).bit_count() <= 4 and (prints[0] ^ prints[2]).bit_count() > 4
+    sketches = near_copies.sketches
+    alone = near_copies.F.array("node")
+    monkeypatch.setattr(near_copies, "sketches", lambda *args: sketches(*args).withColumn("bands", alone))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == left(rows) == [1, 3]
+    assert sorted(r.doc_id for r in near_copies.one_per_group(docs, similarity=1.0).collect()) == [1, 2, 3, 4]
