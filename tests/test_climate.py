@@ -173,3 +173,16 @@ def test_weighted_mean_of_zones_the_fact_has(spark):
     assert rows.count() == 100 and rows.filter("conjunto = 9").count() == 0
     got = rows.filter(F.col("conjunto") == 7).orderBy("instante_utc").first()
     assert (got.chuva_c, got.rajada_c) == (18, 175)  # 17.5 rounds half up
+
+
+def test_opened_grid_is_never_broadcast(spark):
+    """A step of the grid counts as one value, so its rows look few; sums are those of plain rows, repeated ones too."""
+    at = datetime(2024, 1, 7, 22)
+    hours = [(cell, at + timedelta(hours=h), 100 * cell + h, 7) for cell in (1, 2, 3) for h in range(4)]
+    grid_rows = spark.createDataFrame([*hours, hours[0], (1, None, 4, None)], "celula int, instante_utc timestamp_ntz, chuva_c short, rajada_c short")
+    weights = spark.createDataFrame([(5, 1, 0.25), (5, 2, 0.75), (6, 2, 1.0), (7, 9, 1.0)], "conjunto int, celula int, peso double")
+    rows = grid.zone_hours(grid_rows, weights, weights.filter("conjunto <> 6"))
+    found = {(r.conjunto, r.instante_utc): (r.chuva_c, r.rajada_c) for r in rows.collect()}
+    plain = {(5, at + timedelta(hours=h)): (175 + h + (25 if h == 0 else 0), 9 if h == 0 else 7) for h in range(4)}
+    assert found == plain | {(5, None): (1, None)}
+    assert "BroadcastHashJoin [celula" not in rows._jdf.queryExecution().executedPlan().toString()
