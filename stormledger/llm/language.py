@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stormledger.llm.common import crc32_mod, ship
+from stormledger.llm.common import crc32_mod, remember, ship
 
 #: Labelled rows per language that the fit uses, chosen by a hash of their id.
 SAMPLE_PER_LANGUAGE = 3000
@@ -169,6 +169,7 @@ def identify(docs: DataFrame, model: Model, id_col="doc_id", text_col="text") ->
     others = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember()
         scorer = Scorer(shared.value)
         for batch in batches:
             found = [scorer.predict(text.as_py()) for text in batch.column(len(others))]
@@ -191,6 +192,7 @@ def in_known_language(docs: DataFrame, model: Model, min_score: float = 0.3, id_
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember()
         scorer = Scorer(shared.value)
         for batch in batches:
             found = [scorer.predict(text.as_py()) for text in batch.column(at)]

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stormledger.llm.common import kept, ship, text_of
+from stormledger.llm.common import kept, remember, ship, text_of
 from stormledger.llm.graph import components
 from stormledger.llm.simhash import SEED, links, majority_bits, shingle_hashes
 
@@ -53,6 +53,7 @@ def sketches(docs: DataFrame, words: int = WORDS, id_col="doc_id", text_col="tex
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember()
         for batch in batches:
             sets, prints = [], []
             for text in batch.column(2):
@@ -74,6 +75,7 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     """(node, grams) of rows (node, text): the sorted set of shingle hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember()
         for batch in batches:
             made = [np.unique(shingle_hashes(t.as_py(), words)).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["node", "grams"])
@@ -92,6 +94,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remember()
         for batch in batches:
             good = []
             for x, y in zip(batch.column(2), batch.column(3)):

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stormledger.llm import huffman, packing, token_files
+from stormledger.llm import huffman, near_copies, packing, token_files
 from stormledger.llm.tokens import byte_encoder, word_encoder
 from tests.llm import cases
 
@@ -185,3 +185,24 @@ def test_certificates_come_with_the_result(spark):
     rows = packing.pack(cut, per_group=300).collect()
     assert len(rows) == 2000 and all(r.bound <= r.bins for r in rows)
     assert any(r.bound == r.bins for r in rows)
+
+
+def test_a_worker_remembers_one_operator_at_a_time():
+    """Workers live on from stage to stage of the pipeline, so memories would add up."""
+    words, plain = word_encoder(), byte_encoder()
+    first = words.ids("some words here").tolist()
+    assert words.memory
+    other = plain.ids("other words").tolist()
+    assert plain.memory and not words.memory
+    assert words.ids("some words here").tolist() == first and not plain.memory
+    assert plain.ids("other words").tolist() == other
+
+
+def test_near_copies_empty_the_memory_of_pieces():
+    class Table:
+        def mapInArrow(self, run, schema):
+            return list(run(iter([pa.RecordBatch.from_pydict({"node": [1], "text": ["a b c"]})])))
+
+    word_encoder().ids("some words here")
+    assert word_encoder().memory and near_copies._sets(Table(), 2)
+    assert not word_encoder().memory
