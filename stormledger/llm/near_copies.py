@@ -8,7 +8,9 @@ that met are similar enough is decided on their whole sets of shingles. Members
 of a bucket are compared with leaders, few and then more, which unites a large
 group at a cost that grows with its size, as long as that saves comparisons; then
 all pairs of a bucket that are not yet in one component are compared, so no link
-of a bucket is left out.
+of a bucket is left out. That happens in cells of bounded size on bit maps of the
+sets, which bound the similarity from above; only pairs that may reach it become
+rows, and these are checked on the whole sets.
 
 Equal sets of shingles collapse to one node before anything is compared.
 """
@@ -22,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stormledger.llm.common import kept, remember, ship, text_of
+from stormledger.llm.common import deals, kept, remember, ship, text_of
 from stormledger.llm.graph import components
 from stormledger.llm.simhash import SEED, links, majority_bits, shingle_hashes
 
@@ -33,6 +35,10 @@ RADIUS = 4
 BANDS, PER_BAND = 24, 5
 #: Turns in which a bucket is compared with one leader only, at least; pairs per member that may be left after them.
 LEADERS, SPARE = 2, 1.0
+#: Members of a slot of a bucket, two of which meet in a cell; rows of a task of cells.
+SLOT_ROWS, ROWS_PER_TASK = 2048, 4096
+#: Places of a bit map for each shingle, and of the largest map.
+PLACES, WIDEST = 8, 1 << 15
 #: Shingles whose min-hashes are made together; bounds the memory of a long text.
 CHUNK = 4096
 _RNG = np.random.default_rng(SEED)
@@ -108,6 +114,85 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def bit_map(hashes: np.ndarray) -> np.ndarray:
+    """A set's hashes as set bits; the number of places is a power of two that follows the set's size."""
+    width = min(WIDEST, max(64, 1 << (PLACES * len(hashes) - 1).bit_length()))
+    bits = np.zeros(width, np.uint8)
+    bits[(hashes & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<u8")
+
+
+def _folded(words: np.ndarray, n: int) -> np.ndarray:
+    """A map in n words, as if it had been made with so few places."""
+    return np.bitwise_or.reduce(words.reshape(-1, n), axis=0)
+
+
+def near_pairs(sizes: np.ndarray, maps: list[np.ndarray], components: np.ndarray, slots: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers (a, b) of the rows of two components whose sets may have the similarity.
+
+    A place that one map has and the other lacks is an element that only one set
+    has, so what the sets share is bounded from above and no pair is lost. Rows of
+    one slot are compared with each other, rows of two slots across them.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes, components, slots = sizes[order], components[order], slots[order]
+    maps = [maps[k] for k in order]
+    widths = np.array([len(m) for m in maps])
+    across = len(slots) > 0 and (slots != slots[0]).any()
+    # The sets that are large enough to rule a similarity out are not looked at.
+    ends = np.searchsorted(sizes, sizes / similarity + 1e-6, "right") if similarity > 0 else np.full(len(sizes), len(sizes))
+    left, right = [], []
+    for width in np.unique(widths):
+        first, last = np.searchsorted(widths, [width, width + 1])
+        words = np.stack([_folded(m, width) for m in maps[first : ends[last - 1]]])
+        for k in range(first, last):
+            other = np.arange(k + 1, ends[k])
+            other = other[(components[other] != components[k]) & ((slots[other] != slots[k]) | (not across))]
+            own, theirs = words[k - first], words[other - first]
+            lacked = np.bitwise_count(own & ~theirs).sum(axis=1, dtype=np.int64)
+            added = np.bitwise_count(theirs & ~own).sum(axis=1, dtype=np.int64)
+            both = np.minimum(sizes[k] - lacked, sizes[other] - added)
+            good = other[both >= similarity * (sizes[k] + sizes[other] - both) - 1e-9]
+            left.append(np.full(len(good), k))
+            right.append(good)
+    if not left:
+        return order, order
+    return order[np.concatenate(left)], order[np.concatenate(right)]
+
+
+def _candidates(members: DataFrame, sets: DataFrame, similarity: float, slot_rows: int = SLOT_ROWS) -> DataFrame:
+    """Pairs (a, b), a < b, of members of a bucket in two components whose sets may have the similarity."""
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [bit_map(np.frombuffer(g.as_py(), np.uint64)).tobytes() for g in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["node", "map"])
+
+    own = sets.join(members.select("node").distinct(), "node", "left_semi").select("node", "grams")
+    maps = kept(own.mapInArrow(mapped, "node long, map binary"), "maps")
+    counts = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(slot_rows)).cast("int").alias("slots"))
+    placed = members.join(counts, "bucket").withColumn("slot", F.pmod(F.xxhash64("node"), "slots").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    cell = F.xxhash64("bucket", F.least("slot", "other"), F.greatest("slot", "other"))
+    cells = kept(placed.select("node", "size", "component", "slot", cell.alias("cell")), "cells")
+    n = deals(cells.count(), ROWS_PER_TASK)
+
+    def run(table: pa.Table) -> pa.Table:
+        cell, slot, size, component, node = (table.column(c).to_numpy() for c in ("cell", "slot", "size", "component", "node"))
+        maps = [np.frombuffer(m.as_py(), "<u8") for m in table.column("map")]
+        order = np.argsort(cell, kind="stable")
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in np.split(order, np.flatnonzero(np.diff(cell[order])) + 1):
+            x, y = near_pairs(size[at], [maps[k] for k in at], component[at], slot[at], similarity)
+            a.append(node[at[x]])
+            b.append(node[at[y]])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    dealt = cells.join(maps, "node").withColumn("deal", F.pmod(F.xxhash64("cell"), F.lit(n)))
+    return dealt.groupBy("deal").applyInArrow(run, "a long, b long").distinct()
+
+
 def _open(members: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component."""
     split = members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
@@ -146,7 +231,7 @@ def labels(rows: DataFrame, docs: DataFrame, words: int, similarity: float, text
     only with those of other components. From ``leaders`` turns on the number of
     leaders doubles, as long as a turn saves more comparisons than it costs. When
     it does not, or when the pairs of two components that are left are few
-    (``spare`` for each member), all of these are compared.
+    (``spare`` for each member), all of these are compared in cells.
     """
     nodes = kept(rows.groupBy("node").agg(F.min("body").alias("body"), F.first("size").alias("size"), F.min("print").alias("print"), F.first("bands").alias("bands")), "nodes")
     close = _within(nodes.select("node", "print"), RADIUS)
@@ -170,12 +255,11 @@ def labels(rows: DataFrame, docs: DataFrame, words: int, similarity: float, text
             paid = before is None or before[0] - left >= before[1]
             last, before = left <= spare * many or left <= cost or not paid, (left, cost)
         if last:
-            other = members.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ("node", "size", "component")])
-            met = other.join(members, "bucket").filter("node_a < node")
+            pairs = kept(_candidates(members, sets, similarity), "pairs")
         else:
-            met = _leaders(members, turn, each).join(members, "bucket")
-        met = met.filter("component != component_a").filter(F.least("size", "size_a") >= F.greatest("size", "size_a") * similarity - 1e-9)
-        pairs = kept(met.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+            met = _leaders(members, turn, each).join(members, "bucket").filter("component != component_a")
+            met = met.filter(F.least("size", "size_a") >= F.greatest("size", "size_a") * similarity - 1e-9)
+            pairs = kept(met.select(F.col("node_a").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
         own = lambda at: label.select(F.col("node").alias(at), F.col("component").alias(f"of_{at}"))
         found = _similar(pairs, sets, similarity).join(own("a"), "a").join(own("b"), "b")
         edges = kept(found.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct(), "similar")

@@ -106,3 +106,60 @@ def test_fingerprints_link_texts_that_share_no_bucket(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == left(rows) == [1, 3]
     assert sorted(r.doc_id for r in near_copies.one_per_group(docs, similarity=1.0).collect()) == [1, 2, 3, 4]
+
+
+def test_a_large_group_with_many_outliers_makes_no_row_per_pair(spark, monkeypatch):
+    """Members of one group and texts that only share buckets with them: no pair of them becomes a row."""
+    from stormledger.llm import near_copies
+
+    random.seed(3)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for k in range(500):
+        words = list(base)
+        for i in range(1 if k % 5 < 3 else 8):  # one change of a word leaves 0.93, eight leave about 0.6
+            words[random.randrange(150)] = f"v{k}x{i}"
+        rows.append((k, " ".join(words)))
+    asked, similar = [], near_copies._similar
+    monkeypatch.setattr(near_copies, "_similar", lambda pairs, *rest: asked.append(pairs.count()) or similar(pairs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stay = sorted(r.doc_id for r in near_copies.one_per_group(docs).collect())
+    assert stay == left(rows) and 150 < len(stay) <= 201
+    assert max(asked) < 20 * len(rows), asked
+
+
+def test_bit_maps_lose_no_pair():
+    import numpy as np
+
+    from stormledger.llm import near_copies
+
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 64, n, np.uint64)) for n in (1, 2, 7, 60, 64, 300, 5000)]
+    for whole in list(sets):
+        for part in (0.05, 0.15, 0.21, 0.4):  # of a set goes, and once as much comes
+            cut = whole[rng.random(len(whole)) >= part]
+            sets += [x for x in (cut, np.unique(np.r_[cut, rng.integers(0, 1 << 64, len(whole) - len(cut), np.uint64)])) if len(x)]
+    n = len(sets)
+    maps = [near_copies.bit_map(s) for s in sets]
+    component, slot = np.arange(n) // 2, np.arange(n) % 2
+    for similarity in (0.3, 0.8, 1.0):
+        for slots in (np.zeros(n, int), slot):
+            a, b = near_copies.near_pairs(np.array([len(s) for s in sets]), maps, component, slots, similarity)
+            have = {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())}
+            assert len(have) == len(a)
+            may = {(x, y) for x in range(n) for y in range(x + 1, n) if component[x] != component[y] and (slots[x] != slots[y] or not slots.any())}
+            alike = lambda x, y: len(np.intersect1d(sets[x], sets[y])) / len(np.union1d(sets[x], sets[y]))
+            assert {p for p in may if alike(*p) >= similarity} <= have <= may and len(have) < len(may) / 2
+    none = np.zeros(0, int)
+    assert not len(near_copies.near_pairs(none, [], none, none, 0.8)[0])
+
+
+def test_slots_of_a_bucket_meet(spark):
+    from stormledger.llm import near_copies
+
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base[: k % 50], f"v{k}", *base[k % 50 + 1 :]]) for k in range(90)]
+    members = spark.createDataFrame([(k, 56, 7, k) for k in range(90)], "node long, size long, bucket long, component long")
+    sets = near_copies._sets(spark.createDataFrame(list(enumerate(texts)), "node long, text string"), 5)
+    one, many = ({tuple(r) for r in near_copies._candidates(members, sets, 0.8, slots).collect()} for slots in (2048, 7))
+    assert one == many and len(one) == 90 * 89 // 2
