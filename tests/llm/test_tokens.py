@@ -206,3 +206,19 @@ def test_near_copies_empty_the_memory_of_pieces():
     word_encoder().ids("some words here")
     assert word_encoder().memory and near_copies._sets(Table(), 2)
     assert not word_encoder().memory
+
+
+@pytest.mark.parametrize("encoder", [word_encoder, byte_encoder])
+def test_pieces_are_encoded_by_the_model_alone(encoder):
+    """A piece needs no more cutting, so no whole call of the tokenizer is made for it; every byte that a piece may hold is read."""
+    own = encoder()
+    letters = "".join(map(chr, range(33, 127))) + "ÀÖØöøÿßÑé"
+    texts = [f"{a}{b} {b}{a}\n{a}" for a in letters for b in "aé'!7"] + ["plain words, and 12 more."]
+    texts = [t for t in texts if own.pieces(t) is not None]
+    expected = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    own.memory.clear()
+    whole, own.tokenizer = own.tokenizer, None
+    try:
+        assert len(texts) > 500 and [x.tolist() for x in own.stream(texts)] == expected
+    finally:
+        own.tokenizer = whole
