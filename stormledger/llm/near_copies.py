@@ -35,6 +35,8 @@ RADIUS = 4
 BANDS, PER_BAND = 24, 5
 #: Turns in which a bucket is compared with one leader only, at least; pairs per member that may be left after them.
 LEADERS, SPARE = 2, 1.0
+#: Comparisons in a cell that a row of a turn with leaders has to save.
+WORTH = 4
 #: Members of a slot of a bucket, two of which meet in a cell; rows of a task of cells.
 SLOT_ROWS, ROWS_PER_TASK = 2048, 4096
 #: Places of a bit map for each shingle, and of the largest map.
@@ -229,7 +231,7 @@ def labels(rows: DataFrame, docs: DataFrame, words: int, similarity: float, text
     Links of fingerprints come first, so that a bucket starts with the components
     they make. Members of a bucket are compared with its leaders, turn after turn, each time
     only with those of other components. From ``leaders`` turns on the number of
-    leaders doubles, as long as a turn saves more comparisons than it costs. When
+    leaders doubles, as long as a turn saves ``WORTH`` comparisons for each of its rows. When
     it does not, or when the pairs of two components that are left are few
     (``spare`` for each member), all of these are compared in cells.
     """
@@ -252,7 +254,7 @@ def labels(rows: DataFrame, docs: DataFrame, words: int, similarity: float, text
         each = 1 << max(0, turn - leaders + 1)
         if turn >= leaders:
             left, cost = _open_pairs(members, each)
-            paid = before is None or before[0] - left >= before[1]
+            paid = before is None or before[0] - left >= WORTH * before[1]
             last, before = left <= spare * many or left <= cost or not paid, (left, cost)
         if last:
             pairs = kept(_candidates(members, sets, similarity), "pairs")
