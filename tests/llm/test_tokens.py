@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from stormledger.llm import huffman, near_copies, packing, token_files
+from stormledger.llm import huffman, near_copies, packing, token_files, tokens
 from stormledger.llm.tokens import byte_encoder, word_encoder
 from tests.llm import cases
 
@@ -222,3 +222,29 @@ def test_pieces_are_encoded_by_the_model_alone(encoder):
         assert len(texts) > 500 and [x.tolist() for x in own.stream(texts)] == expected
     finally:
         own.tokenizer = whole
+
+
+def test_pieces_of_many_texts_are_cut_as_one_text_alone():
+    draw = random.Random(11)
+    texts = ["".join(draw.choice("ab slrtvmdeD''' \n\n  9 0.,!éÿÖ") for _ in range(draw.randint(0, 30))) for _ in range(5000)]
+    texts += ["", "'", "'s", "it's 's 'sx \n's 9's !'s", "we'll 'llama", "a \n", " \n a", "''re", "x" * 70]
+    raw = tokens.END.join([*[t.encode("latin-1") for t in texts], b""])
+    starts = [*tokens.byte_starts(raw).tolist(), len(raw)]
+    want = [p.encode("latin-1") for t in texts for p in [*tokens.BYTE.findall(t), tokens.END.decode()]]
+    assert [raw[a:b] for a, b in zip(starts, starts[1:])] == want
+
+
+def test_a_piece_that_many_texts_share_is_looked_up_once(monkeypatch):
+    asked, encoder = [], byte_encoder()
+    ids = encoder.memory.__missing__
+
+    class Asked(dict):
+        def __missing__(self, piece):
+            asked.append(piece)
+            return ids(piece)
+
+    monkeypatch.setattr(encoder, "memory", Asked())
+    texts = ["one two one two one", None, "two one", "one two"] * 20
+    own = [x.tolist() for x in encoder.stream([*texts, "日本 it's"])]
+    assert own == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in [*texts, "日本 it's"]]
+    assert sorted(asked) == [b" one", b" two", b"one", b"two"]
