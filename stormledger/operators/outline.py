@@ -24,6 +24,8 @@ from stormledger.sources.files import scratch
 TOLERANCE = 1e-9
 #: Decimal places of a crossing, so that lines that meet in one point do.
 PLACES = 10
+#: Segments that meet in a cell: smaller cells hold most segments more than once.
+IN_CELL = 16
 _ENDS = ("xa", "ya", "xb", "yb")
 
 
@@ -62,7 +64,7 @@ def _numbered(sides: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def _cells(sides: DataFrame, key: str) -> DataFrame:
-    """Segments beside each cell they pass; a key has about as many cells as segments."""
+    """Segments beside each cell they pass; a key has about a cell for every ``IN_CELL`` segments."""
     low, high = lambda a: F.least(f"{a}a", f"{a}b"), lambda a: F.greatest(f"{a}a", f"{a}b")
     frame = sides.groupBy(key).agg(
         F.min(low("x")).alias("west"),
@@ -70,8 +72,10 @@ def _cells(sides: DataFrame, key: str) -> DataFrame:
         F.greatest(F.max(high("x")) - F.min(low("x")), F.max(high("y")) - F.min(low("y"))).alias("size"),
         F.count(F.lit(1)).alias("n"),
     )
-    h = F.col("size") / F.ceil(F.sqrt("n"))
-    frame = frame.select(F.col(key).alias("frame_key"), "west", "south", h.alias("h"))
+    # A little more room on each side, so that the outermost segments lie in no cell beyond.
+    room = F.col("size") * 0.005
+    h = F.col("size") * 1.01 / F.ceil(F.sqrt(F.col("n") / F.lit(float(IN_CELL))))
+    frame = frame.select(F.col(key).alias("frame_key"), (F.col("west") - room).alias("west"), (F.col("south") - room).alias("south"), h.alias("h"))
     at = lambda value, origin, slack: F.floor((value - F.col(origin)) / F.col("h") + F.lit(slack)).cast("long")
     xa, ya, xb, yb = (F.col(c) for c in _ENDS)
     slope = (yb - ya) / F.nullif(xb - xa, F.lit(0.0))
@@ -121,10 +125,10 @@ def cuts(sides: DataFrame, key: str, tolerance: float = TOLERANCE) -> DataFrame:
     return pairs.select(F.col(f"s.{key}").alias(key), F.explode(F.filter(found, lambda p: p.isNotNull())).alias("p")).select(key, "p.*")
 
 
-def noded(sides: DataFrame, key: str, tolerance: float = TOLERANCE) -> DataFrame:
-    """Segments (key, id, ends) cut wherever another of the key touches or crosses them."""
+def noded(sides: DataFrame, key: str, tolerance: float = TOLERANCE, known: DataFrame | None = None) -> DataFrame:
+    """Segments (key, id, ends) cut wherever another of the key touches or crosses them; ``known`` are their cuts."""
     found = (
-        cuts(sides, key, tolerance)
+        (cuts(sides, key, tolerance) if known is None else known)
         .groupBy(F.col("id").alias("cut_id"))
         .agg(F.array_sort(F.collect_set(F.struct("at", "x", "y"))).alias("cuts"))
     )
@@ -292,7 +296,10 @@ def repaired(shapes: DataFrame, key: str, tolerance: float = TOLERANCE) -> DataF
     Rings are cut where they cross or touch themselves or another ring of the
     shape; sides run over forth and back vanish. A key is one shape.
     """
-    cut = noded(_numbered(_sides(shapes, key), key, "shape-sides"), key, tolerance)
+    return _recut(noded(_numbered(_sides(shapes, key), key, "shape-sides"), key, tolerance), key)
+
+
+def _recut(cut: DataFrame, key: str) -> DataFrame:
     return parts(rings(_numbered(uncancelled(cut, key), key, "cut-sides"), key), key)
 
 
@@ -301,12 +308,15 @@ def sound(shapes: DataFrame, key: str, tolerance: float = TOLERANCE) -> DataFram
     sides = _numbered(_sides(shapes, key), key, "sides")
     points = [F.struct(F.col(f"x{e}").alias("x"), F.col(f"y{e}").alias("y")) for e in "ab"]
     doubled = sides.groupBy(key, F.least(*points).alias("p"), F.greatest(*points).alias("q")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    broken = _kept(cuts(sides, key, tolerance).select(key).union(doubled.select(key)).distinct(), "broken")
+    found = _kept(cuts(sides, key, tolerance), "cuts")
+    broken = _kept(found.select(key).union(doubled.select(key)).distinct(), "broken")
     if broken.isEmpty():
         return shapes.select(key, "partes")
     marked = shapes.select(key, "partes").join(broken.withColumn("broken", F.lit(True)), key, "left")
     whole = marked.filter("broken is null").select(key, "partes")
-    return whole.unionByName(repaired(marked.filter("broken").select(key, "partes"), key, tolerance))
+    # The sides of these shapes are numbered and their cuts are found already. A null key is never marked.
+    cut = noded(sides.join(broken, key, "left_semi"), key, tolerance, found)
+    return whole.unionByName(_recut(cut, key))
 
 
 def zone_outlines(bridge: DataFrame, meshes: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:

@@ -203,3 +203,21 @@ def test_only_broken_shapes_are_changed(spark):
 def test_no_shapes(spark):
     assert outline.dissolved(keyed(spark, []), "k").count() == 0
     assert Counter(outlines(outline.repaired(keyed(spark, [("x", [])]), "k"))) == Counter()
+
+
+def test_small_shapes_lie_in_one_cell(spark):
+    """Their sides meet once, not again in each cell that two of them pass."""
+    sides = outline._numbered(outline.segments(keyed(spark, [("a", [[box(0, 0, 4, 4)]]), ("b", [[box(0, 0, 3, 1)], [box(5, 5, 6, 6)]])]), "k"), "k", "few")
+    cells = outline._cells(sides, "k")
+    assert cells.count() == sides.count() == 12
+    many = outline._numbered(outline.segments(keyed(spark, [("c", [[box(x, y, x + 1, y + 1)] for x in range(0, 40, 2) for y in range(0, 40, 2)])]), "k"), "k", "many")
+    per_cell = [r["count"] for r in outline._cells(many, "k").groupBy("i", "j").count().collect()]
+    assert len(per_cell) > 50 and max(per_cell) <= 4 * outline.IN_CELL
+
+
+def test_cuts_of_broken_shapes_are_found_once(spark, monkeypatch):
+    calls, cuts = [], outline.cuts
+    monkeypatch.setattr(outline, "cuts", lambda *a, **b: calls.append(1) or cuts(*a, **b))
+    shapes = keyed(spark, [("bow", [[[(0, 0), (2, 2), (2, 0), (0, 2)]]]), ("sound", [[box(0, 0, 1, 1)]])])
+    found = outlines(outline.sound(shapes, "k"))
+    assert sorted(found) == ["bow", "sound"] and len(found["bow"]) == 2 and len(calls) == 1
