@@ -186,3 +186,31 @@ def test_opened_grid_is_never_broadcast(spark):
     plain = {(5, at + timedelta(hours=h)): (175 + h + (25 if h == 0 else 0), 9 if h == 0 else 7) for h in range(4)}
     assert found == plain | {(5, None): (1, None)}
     assert "BroadcastHashJoin [celula" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def moved_rows(df):
+    """Rows that each shuffle of a frame wrote, once it has run."""
+    def walk(node):
+        name, below = node.nodeName(), node.children()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        own = [node.metrics().get("shuffleRecordsWritten").get().value()] if name == "Exchange" else []
+        return own + [n for k in range(below.size()) for n in walk(below.apply(k))]
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_no_shuffle_holds_the_product_of_hours_and_zones(spark):
+    """Sixty zones on the same two cells in three weeks: a cell's hours move once a week, not once a zone."""
+    weeks = [T0 + timedelta(weeks=k) for k in range(3)]
+    cells = spark.createDataFrame([(c, at, 100 * c, 7) for c in (1, 2) for at in weeks], "celula int, instante_utc timestamp_ntz, chuva_c short, rajada_c short")
+    zones = range(60)
+    weights = spark.createDataFrame([(z, c, 0.5) for z in zones for c in (1, 2)] + [(99, 1, 1.0), (99, 2, None), (None, 1, 1.0)], "conjunto int, celula int, peso double")
+    rows = grid.zone_hours(cells, weights, spark.createDataFrame([(z,) for z in [*zones, 99]], "conjunto int"))
+    found = sorted((r.conjunto, r.instante_utc, r.chuva_c, r.rajada_c) for r in rows.collect())
+    assert found == sorted([(z, at, 150, 7) for z in zones for at in weeks] + [(99, at, 100, 7) for at in weeks])
+    assert max(moved_rows(rows)) <= 2 * 60 + 3
+    whole = grid.zone_hours(cells, weights)
+    assert whole.count() == 3 * 62 and whole.filter("conjunto is null and chuva_c = 100").count() == 3

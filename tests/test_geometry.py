@@ -151,3 +151,17 @@ def test_shapes_are_never_broadcast(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert len(rows) > 1 and "Broadcast" not in plan, name
     assert sum(r.peso for r in results["weights"].collect() if r.conjunto == 1) == pytest.approx(1.0)
+
+
+def test_weights_are_made_once_and_dealt_by_zone_once(spark):
+    """Totals come from the rows that they scale: no join, and a null zone has no weights."""
+    columns = "conjunto int, celula int, lat double, lon double, peso double"
+    shares = spark.createDataFrame([(1, 10, 0.0, 0.0, 0.5), (1, 11, 0.0, 0.0, 1.5), (1, 11, 0.0, 0.0, 2.0), (2, 10, 0.0, 0.0, 3.0), (None, 10, 0.0, 0.0, 1.0)], columns)
+    scaled = geo.renormalised(shares)
+    assert sorted((r.conjunto, r.celula, r.peso) for r in scaled.collect()) == [(1, 10, 0.125), (1, 11, 0.375), (1, 11, 0.5), (2, 10, 1.0)]
+    assert "Join" not in scaled._jdf.queryExecution().executedPlan().toString()
+    meshes = frame(spark, {1: [[shifted(SQUARE, -45.125, -19.125)]]})
+    bridge = spark.createDataFrame([(10, 1), (11, 1)], "conjunto int, municipio_ibge int")
+    weights = geo.zone_weights(bridge, meshes)
+    places = {r.celula: (r.lat, r.lon) for r in geo.cell_overlap(meshes).collect()}
+    assert {r.celula: (r.lat, r.lon) for r in weights.collect()} == places and len(places) == 16
