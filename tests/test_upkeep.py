@@ -2,6 +2,8 @@
 
 import glob
 import os
+import re
+import time
 from datetime import datetime
 
 import pytest
@@ -204,3 +206,32 @@ def test_bucketed_sides_do_not_move(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for table in ("horas_em_baldes", "contagens_em_baldes"):
             spark.sql(f"drop table if exists {table}")
+
+
+def test_writes_leave_no_shuffle_files(spark, paths):
+    """A cycle writes one table after the other; what each has shuffled goes when it is done."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in re.split(r"[,/]", disk.getAllFiles().mkString(",")) if f.startswith("shuffle_")}
+    before, setting = shuffled(), spark.conf.get(files._TIDY)
+    files.write_fact(rows(spark, [2018, 2019]), paths.silver(layers.FACT))
+    cube = cubes.monthly_cube(fact.fact_view(files.stored_fact(spark, paths.silver(layers.FACT))))
+    for k in range(3):
+        files.write_sorted(cube, paths.silver(f"cubo{k}"), ["conjunto"])
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:  # files go in the background
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(files._TIDY) == setting
+    assert cube.count() == cube.count() == spark.read.parquet(paths.silver("cubo0")).count()
+
+
+def test_a_large_fact_is_made_into_cubes_year_by_year(spark, paths, monkeypatch):
+    years = [2018, 2019, 2020]
+    files.write_fact(rows(spark, years), paths.silver(layers.FACT))
+    assert partials._batches(spark, paths, years) == [years] and partials._batches(spark, paths, []) == []
+    sizes = files.period_bytes(spark, paths.silver(layers.FACT), partials._STAMP)
+    monkeypatch.setattr(partials, "BATCH_BYTES", sizes["2018"] + sizes["2019"])
+    assert partials._batches(spark, paths, years) == [[2018, 2019], [2020]]
+    monkeypatch.setattr(partials, "BATCH_BYTES", 1)
+    assert partials._batches(spark, paths, years) == [[y] for y in years]
+    assert partials.renew(spark, paths) == years and partials.renew(spark, paths) == []
+    same(spark, paths)
